@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from siltworks.llm.p1_tokens import p1_token_budget, p1_token_counts
 from siltworks.llm.p3_cutoffs import P3_CUTOFFS_SQL, p3_cutoffs
+from siltworks.llm.p6_repeated import P6_CLEAN_SQL, P6_FOUND_SQL, p6_clean_pages, p6_found
 from siltworks.llm.p8_encode import p8_ids
 
 QUERIES = {
     "p1_token_counts": p1_token_counts,
     "p1_token_budget": p1_token_budget,
     "p3_cutoffs": p3_cutoffs,
+    "p6_found": p6_found,
+    "p6_clean_pages": p6_clean_pages,
     "p8_ids": p8_ids,
 }
 
 ORACLES = {
     "p3_cutoffs": P3_CUTOFFS_SQL,
+    "p6_found": P6_FOUND_SQL,
+    "p6_clean_pages": P6_CLEAN_SQL,
 }
