@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import zlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,3 +20,49 @@ def bucket_key(col: Column) -> Column:
     """Bucket in one spelling; ``other`` for null or unknown ones."""
     found = F.lower(F.trim(col))
     return F.when(found.isin("head", "middle", "tail", "all"), found).otherwise("other")
+
+
+def merged_slices(df: DataFrame, values: str, size: int, kind: str, per_slice: int) -> np.ndarray:
+    """One numpy array of ``size`` entries made from a bigint column of ``df``, spread over the cluster.
+
+    ``kind`` ``bits``: bit ``v mod size`` is set for every value v, packed to bytes; ``counts``: entry ``v mod size``
+    counts its values (uint32). Each task builds its own array and sends it in compressed slices, which are merged by
+    slice. What reaches the driver has a fixed size, whatever the table's.
+    """
+    length = size // 8 if kind == "bits" else size
+    dtype = np.uint8 if kind == "bits" else np.uint32
+
+    def local(batches):
+        own = np.zeros(length, dtype)
+        for b in batches:
+            idx = b.column(0).drop_null().to_numpy(zero_copy_only=False) & (size - 1)
+            if kind == "bits":
+                np.bitwise_or.at(own, idx >> 3, np.left_shift(1, idx & 7).astype(np.uint8))
+            else:
+                own += np.bincount(idx, minlength=size).astype(dtype)
+        parts = [(i, own[i : i + per_slice]) for i in range(0, length, per_slice)]
+        parts = [(i, zlib.compress(x.tobytes(), 1)) for i, x in parts if x.any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i for i, _ in parts], pa.int64()), pa.array([x for _, x in parts], pa.binary())], ["at", "part"]
+        )
+
+    def merge(key, group):
+        total = None
+        for part in group.column("part").to_pylist():
+            x = np.frombuffer(zlib.decompress(part), dtype)
+            total = x.copy() if total is None else (total | x if kind == "bits" else total + x)
+        return pa.table({"at": [key[0].as_py()], "part": [zlib.compress(total.tobytes(), 1)]})
+
+    slices = df.select(values).mapInArrow(local, "at bigint, part binary")
+    merged = slices.groupBy("at").applyInArrow(merge, "at bigint, part binary").toArrow()
+    out = np.zeros(length, dtype)
+    for at, part in zip(merged.column("at").to_pylist(), merged.column("part").to_pylist(), strict=True):
+        x = np.frombuffer(zlib.decompress(part), dtype)
+        out[at : at + len(x)] = x
+    return out
+
+
+def has_bit(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether each value's bit is set in a bitmap of ``merged_slices``."""
+    idx = values & (len(bitmap) * 8 - 1)
+    return (bitmap[idx >> 3] >> (idx & 7).astype(np.uint8)) & 1 > 0

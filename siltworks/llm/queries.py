@@ -5,6 +5,7 @@ from __future__ import annotations
 from siltworks.llm.p1_tokens import p1_token_budget, p1_token_counts
 from siltworks.llm.p3_cutoffs import P3_CUTOFFS_SQL, p3_cutoffs
 from siltworks.llm.p6_repeated import P6_CLEAN_SQL, P6_FOUND_SQL, p6_clean_pages, p6_found
+from siltworks.llm.p7_batches import p7_found
 from siltworks.llm.p8_encode import p8_ids
 
 QUERIES = {
@@ -13,6 +14,7 @@ QUERIES = {
     "p3_cutoffs": p3_cutoffs,
     "p6_found": p6_found,
     "p6_clean_pages": p6_clean_pages,
+    "p7_found": p7_found,
     "p8_ids": p8_ids,
 }
 
