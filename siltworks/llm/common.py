@@ -22,8 +22,14 @@ def bucket_key(col: Column) -> Column:
     return F.when(found.isin("head", "middle", "tail", "all"), found).otherwise("other")
 
 
-def merged_slices(df: DataFrame, values: str, size: int, kind: str, per_slice: int) -> np.ndarray:
-    """One numpy array of ``size`` entries made from a bigint column of ``df``, spread over the cluster.
+def first_column(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).drop_null().to_numpy(zero_copy_only=False)
+
+
+def merged_slices(df: DataFrame, size: int, kind: str, per_slice: int, values=first_column) -> np.ndarray:
+    """One numpy array of ``size`` entries made from all rows of ``df``, spread over the cluster.
+
+    ``values`` gives the int64 values of an Arrow batch of ``df``, by default its first column's.
 
     ``kind`` ``bits``: bit ``v mod size`` is set for every value v, packed to bytes; ``counts``: entry ``v mod size``
     counts its values (uint32). Each task builds its own array and sends it in compressed slices, which are merged by
@@ -35,7 +41,7 @@ def merged_slices(df: DataFrame, values: str, size: int, kind: str, per_slice: i
     def local(batches):
         own = np.zeros(length, dtype)
         for b in batches:
-            idx = b.column(0).drop_null().to_numpy(zero_copy_only=False) & (size - 1)
+            idx = values(b) & (size - 1)
             if kind == "bits":
                 np.bitwise_or.at(own, idx >> 3, np.left_shift(1, idx & 7).astype(np.uint8))
             else:
@@ -53,7 +59,7 @@ def merged_slices(df: DataFrame, values: str, size: int, kind: str, per_slice: i
             total = x.copy() if total is None else (total | x if kind == "bits" else total + x)
         return pa.table({"at": [key[0].as_py()], "part": [zlib.compress(total.tobytes(), 1)]})
 
-    slices = df.select(values).mapInArrow(local, "at bigint, part binary")
+    slices = df.mapInArrow(local, "at bigint, part binary")
     merged = slices.groupBy("at").applyInArrow(merge, "at bigint, part binary").toArrow()
     out = np.zeros(length, dtype)
     for at, part in zip(merged.column("at").to_pylist(), merged.column("part").to_pylist(), strict=True):

@@ -7,6 +7,7 @@ from siltworks.llm.p3_cutoffs import P3_CUTOFFS_SQL, p3_cutoffs
 from siltworks.llm.p6_repeated import P6_CLEAN_SQL, P6_FOUND_SQL, p6_clean_pages, p6_found
 from siltworks.llm.p7_batches import p7_found
 from siltworks.llm.p8_encode import p8_ids
+from siltworks.llm.p9_leaks import p9_found, p9_leak_report
 
 QUERIES = {
     "p1_token_counts": p1_token_counts,
@@ -16,6 +17,8 @@ QUERIES = {
     "p6_clean_pages": p6_clean_pages,
     "p7_found": p7_found,
     "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p9_leak_report": p9_leak_report,
 }
 
 ORACLES = {
