@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -72,3 +73,26 @@ def has_bit(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Whether each value's bit is set in a bitmap of ``merged_slices``."""
     idx = values & (len(bitmap) * 8 - 1)
     return (bitmap[idx >> 3] >> (idx & 7).astype(np.uint8)) & 1 > 0
+
+
+#: Width and number of the bins of -ln p over which false discovery is controlled.
+BIN, BINS = 0.01, 100_000
+
+
+def with_bin(tests: DataFrame, g: str = "g") -> DataFrame:
+    """Adds ``bin`` of -ln p, where p = exp(-g / 2) bounds the tail of a log-likelihood ratio ``g``."""
+    return tests.withColumn("bin", F.least(F.floor(F.col(g) / 2 / BIN), F.lit(BINS)).cast("int"))
+
+
+def discovery_limit(tests: DataFrame, fdr: float) -> int:
+    """The least ``bin`` that is significant after Benjamini and Hochberg; beyond all bins if none is.
+
+    Only the histogram over bins, of fixed size, reaches the driver.
+    """
+    counts = sorted(((r["bin"], r["n"]) for r in tests.groupBy("bin").agg(F.count("*").alias("n")).collect()), reverse=True)
+    m, seen, limit = sum(n for _, n in counts), 0, BINS + 1
+    for b, count in counts:
+        seen += count
+        if math.exp(-b * BIN) <= fdr * seen / m:
+            limit = b
+    return limit

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from siltworks.llm.p10_truncated import p10_cut_rates, p10_found
 from siltworks.llm.p1_tokens import p1_token_budget, p1_token_counts
 from siltworks.llm.p3_cutoffs import P3_CUTOFFS_SQL, p3_cutoffs
 from siltworks.llm.p6_repeated import P6_CLEAN_SQL, P6_FOUND_SQL, p6_clean_pages, p6_found
@@ -19,6 +20,8 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_leak_report": p9_leak_report,
+    "p10_found": p10_found,
+    "p10_cut_rates": p10_cut_rates,
 }
 
 ORACLES = {
