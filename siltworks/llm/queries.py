@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from siltworks.llm.p10_truncated import p10_cut_rates, p10_found
 from siltworks.llm.p1_tokens import p1_token_budget, p1_token_counts
+from siltworks.llm.p2_spam import p2_found
 from siltworks.llm.p3_cutoffs import P3_CUTOFFS_SQL, p3_cutoffs
+from siltworks.llm.p5_quality import p5_found, p5_page_statistics
 from siltworks.llm.p6_repeated import P6_CLEAN_SQL, P6_FOUND_SQL, p6_clean_pages, p6_found
 from siltworks.llm.p7_batches import p7_found
 from siltworks.llm.p8_encode import p8_ids
@@ -13,7 +15,10 @@ from siltworks.llm.p9_leaks import p9_found, p9_leak_report
 QUERIES = {
     "p1_token_counts": p1_token_counts,
     "p1_token_budget": p1_token_budget,
+    "p2_found": p2_found,
     "p3_cutoffs": p3_cutoffs,
+    "p5_found": p5_found,
+    "p5_page_statistics": p5_page_statistics,
     "p6_found": p6_found,
     "p6_clean_pages": p6_clean_pages,
     "p7_found": p7_found,
