@@ -6,6 +6,7 @@ from siltworks.llm.p10_truncated import p10_cut_rates, p10_found
 from siltworks.llm.p1_tokens import p1_token_budget, p1_token_counts
 from siltworks.llm.p2_spam import p2_found
 from siltworks.llm.p3_cutoffs import P3_CUTOFFS_SQL, p3_cutoffs
+from siltworks.llm.p4_template import p4_found, p4_main_content
 from siltworks.llm.p5_quality import p5_found, p5_page_statistics
 from siltworks.llm.p6_repeated import P6_CLEAN_SQL, P6_FOUND_SQL, p6_clean_pages, p6_found
 from siltworks.llm.p7_batches import p7_found
@@ -17,6 +18,8 @@ QUERIES = {
     "p1_token_budget": p1_token_budget,
     "p2_found": p2_found,
     "p3_cutoffs": p3_cutoffs,
+    "p4_found": p4_found,
+    "p4_main_content": p4_main_content,
     "p5_found": p5_found,
     "p5_page_statistics": p5_page_statistics,
     "p6_found": p6_found,
