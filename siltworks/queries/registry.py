@@ -1,4 +1,18 @@
-"""All queries outside ``llm`` by name."""
+"""All queries outside ``llm`` by name, with their SQL where SQL can state them."""
+
+from __future__ import annotations
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function of (spark, folder) under its name."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
