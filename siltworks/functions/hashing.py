@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siltworks.functions.binding import let
 from siltworks.functions.text import normalize_for_dedup
 
 
@@ -23,39 +24,51 @@ def line_hash(col: Column) -> Column:
     return text_hash(normalize_for_dedup(col))
 
 
+def plain_base64(data: Column) -> Column:
+    """Base64 without the line breaks that Spark puts after 76 characters."""
+    return F.replace(F.base64(data), F.lit("\r\n"), F.lit(""))
+
+
 def encode_hashes(hashes: Column) -> Column:
     """An array of hex hashes as base64 of their bytes."""
-    return F.base64(F.unhex(F.array_join(hashes, "")))
+    return plain_base64(F.unhex(F.array_join(hashes, "")))
 
 
 def decode_hashes(packed: Column, digits: int = 8) -> Column:
     """The hex hashes, ``digits`` each, of a base64 string."""
-    text = F.lower(F.hex(F.unbase64(packed)))
-    steps = F.sequence(F.lit(0), F.floor(F.length(text) / digits).cast("int") - 1)
-    cut = F.transform(steps, lambda i: F.substring(text, i * digits + 1, F.lit(digits)))
-    return F.when(F.length(text) >= digits, cut).otherwise(F.array().cast("array<string>"))
+
+    def cut(text: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.floor(F.length(text) / digits).cast("int") - 1)
+        parts = F.transform(steps, lambda i: F.substring(text, i * digits + 1, F.lit(digits)))
+        return F.when(F.length(text) >= digits, parts).otherwise(F.array().cast("array<string>"))
+
+    return let(F.lower(F.hex(F.unbase64(packed))), cut)
 
 
 def encode_line_ids(ids: Column) -> Column:
     """Line numbers as base64 of little-endian unsigned 16-bit values; null for null, empty for none."""
+
     def pair(i):
         digits = F.lpad(F.lower(F.hex(i.cast("bigint"))), 4, "0")
         return F.concat(F.substring(digits, 3, 2), F.substring(digits, 1, 2))
 
-    return F.base64(F.unhex(F.array_join(F.transform(ids, pair), "")))
+    return plain_base64(F.unhex(F.array_join(F.transform(ids, pair), "")))
 
 
 def decode_line_ids(packed: Column) -> Column:
     """The unsigned line numbers of ``encode_line_ids``; an odd last byte is dropped, bad base64 gives null."""
-    text = F.hex(F.try_to_binary(packed, F.lit("base64")))
-    count = F.floor(F.length(text) / 4).cast("int")
 
-    def number(i):
-        pair = F.substring(text, i * 4 + 1, F.lit(4))
-        return F.conv(F.concat(F.substring(pair, 3, 2), F.substring(pair, 1, 2)), 16, 10).cast("int")
+    def unpack(text: Column) -> Column:
+        count = F.floor(F.length(text) / 4).cast("int")
+
+        def number(i: Column) -> Column:
+            pair = F.substring(text, i * 4 + 1, F.lit(4))
+            return F.conv(F.concat(F.substring(pair, 3, 2), F.substring(pair, 1, 2)), 16, 10).cast("int")
+
+        some = F.transform(F.sequence(F.lit(0), count - 1), number)
+        return F.when(text.isNull(), None).when(count > 0, some).otherwise(F.array().cast("array<int>"))
 
-    some = F.transform(F.sequence(F.lit(0), count - 1), number)
-    return F.when(text.isNull(), None).when(count > 0, some).otherwise(F.array().cast("array<int>"))
+    return let(F.hex(F.try_to_binary(packed, F.lit("base64"))), unpack)
 
 
 def document_key(digest: Column) -> Column:

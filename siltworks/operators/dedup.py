@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siltworks.functions.binding import let
 from siltworks.functions.hashing import line_hash
 
 
@@ -76,7 +77,7 @@ def rebuild(df: DataFrame, kept: DataFrame, doc: str = "doc_id", text: str = "te
     out = base.join(ids, "doc", "left" if keep_empty else "inner")
     out = out.withColumn("line_ids", F.coalesce("line_ids", F.array().cast("array<int>")))
     lines = F.split("full", "\n")
-    body = F.array_join(F.transform("line_ids", lambda i: F.element_at(lines, i + 1)), "\n")
+    body = let(lines, lambda x: F.array_join(F.transform("line_ids", lambda i: F.element_at(x, i + 1)), "\n"))
     out = out.withColumn("body", body)
     return out.select(
         F.col("doc").alias(doc),
@@ -94,7 +95,7 @@ def intra_document(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
     """Each document without its own repeated lines; no shuffle."""
     lines = documents_with_lines(df, doc, text, (text,))
     order = F.sequence(F.lit(0), F.size("hashes") - 1)
-    ids = F.filter(order, lambda i: F.array_position(F.col("hashes"), F.element_at("hashes", i + 1)) == i + 1)
+    ids = let(F.col("hashes"), lambda h: F.filter(order, lambda i: F.array_position(h, F.element_at(h, i + 1)) == i + 1))
     kept = lines.withColumn("line_ids", ids)
     return kept.select(F.col("doc").alias(doc), F.size("line_ids").alias("nlines"), "line_ids")
 

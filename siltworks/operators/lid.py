@@ -11,16 +11,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siltworks.functions.binding import let
+
 PROFILE = 400
 
 
 def trigrams(text: Column) -> Column:
     """Trigrams of the lower-cased text in which every run without letters is one space. Line breaks are runs too."""
     clean = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), F.lit(" "))
-    chars = F.split(clean, "")
-    size = F.length(clean)
-    at = F.sequence(F.lit(1), size - 2)
-    return F.when(size >= 3, F.transform(at, lambda i: F.concat(F.element_at(chars, i), F.element_at(chars, i + 1), F.element_at(chars, i + 2)))).otherwise(F.array().cast("array<string>"))
+
+    def cut(chars: Column) -> Column:
+        at = F.sequence(F.lit(1), F.size(chars) - 2)
+        three = F.transform(at, lambda i: F.concat(F.element_at(chars, i), F.element_at(chars, i + 1), F.element_at(chars, i + 2)))
+        return F.when(F.size(chars) >= 3, three).otherwise(F.array().cast("array<string>"))
+
+    return let(F.split(clean, ""), cut)
 
 
 def train(df: DataFrame, text: str = "text", language: str = "lang", profile: int = PROFILE) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siltworks.functions.binding import let
 from siltworks.functions.hashing import decode_line_ids, encode_line_ids
 
 PUBLIC = ["url", "digest", "cc_segment"]
@@ -45,8 +46,8 @@ def fetch_metadata(docs: DataFrame, meta: DataFrame, latest: list[str], once: bo
         docs = docs.withColumn("rn", rank).filter("rn = 1").drop("rn")
     joined = docs.join(known, keys)
     lines = F.split("raw_content", "\n")
-    ids = F.filter(decode_line_ids(F.col("m_line_ids")), lambda i: i < F.size(lines))
-    body = F.array_join(F.transform(ids, lambda i: F.element_at(lines, i + 1)), "\n")
+    ids = let(lines, lambda x: F.filter(decode_line_ids(F.col("m_line_ids")), lambda i: i < F.size(x)))
+    body = let(lines, lambda x: F.array_join(F.transform(ids, lambda i: F.element_at(x, i + 1)), "\n"))
     out = joined.withColumns(
         {
             "original_nlines": F.size(lines),

@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 
 from siltworks.operators import buckets, dedup, lid, lm, metadata, verbs
 from siltworks.plans.config import Config
+from siltworks.session import materialize
 from siltworks.sources import sinks
 
 
+#: Steps whose result the next ones read several times: it is written out rather than computed again.
+REUSED = {"dedup", "lid", "lid_before_dedup", "lm", "fetch_metadata"}
+
+
 class Pipeline:
     """Steps of ``config`` over documents; models are tables made beforehand.
 
@@ -45,8 +50,10 @@ class Pipeline:
 
     def run(self, docs: DataFrame) -> DataFrame:
         df = docs.filter(F.length("raw_content") >= self.config.min_len)
-        for _, step in self.steps():
+        for name, step in self.steps():
             df = df.transform(step)
+            if name in REUSED:
+                df = materialize(df, name)
         return df
 
     def write(self, docs: DataFrame, path: str | None = None) -> None:

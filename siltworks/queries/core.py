@@ -378,8 +378,8 @@ def fetch_metadata_roundtrip(spark, d):
 )
 def paragraph_explode_join(spark, d):
     docs = metadata.one_version(mined(spark, d).withColumn("neg", -F.col("mined_id")), ["cc_segment", "digest"], ["neg"])
-    same = {c: F.transform("line_ids", lambda _, c=c: F.col(c)) for c in ("language", "perplexity")}
-    meta = docs.select("cc_segment", "digest", "line_ids", same["language"].alias("languages"), same["perplexity"].alias("lm_scores"))
+    same = {c: F.array_repeat(c, F.size("line_ids")) for c in ("language", "perplexity")}
+    meta = docs.filter("line_ids is not null").select("cc_segment", "digest", "line_ids", same["language"].alias("languages"), same["perplexity"].alias("lm_scores"))
     return metadata.paragraphs(docs, meta)
 
 
@@ -441,7 +441,7 @@ def _words_sql(x: str) -> str:
 
 _VOCAB = f"""
 tok AS (SELECT doc_id AS doc, lang, unnest({_words_sql('text')}) AS word FROM documents WHERE lang IS NOT NULL),
-vocab AS (SELECT lang, word, count(*) AS n FROM tok GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {lm.VOCABULARY})
+vocab AS (SELECT * FROM (SELECT lang, word, count(*) AS n FROM tok GROUP BY lang, word) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {lm.VOCABULARY})
 """
 _UNI = f"""{_VOCAB},
 total AS (SELECT lang, sum(n) + count(*) + 1 AS total FROM vocab GROUP BY lang),
@@ -539,7 +539,8 @@ def bucket_counts(spark, d):
 # --- tags -------------------------------------------------------------------------------------------------------
 
 _HOST_TAGS = f"""rows AS (SELECT DISTINCT {NETLOC_SQL.format('url')} AS key, language AS tag, bucket AS source FROM mined_docs WHERE language IS NOT NULL AND bucket IS NOT NULL),
-found AS (SELECT key, tag FROM rows GROUP BY ALL HAVING count(*) = (SELECT count(DISTINCT r.source) FROM rows r WHERE r.key = rows.key))"""
+given AS (SELECT key, tag, count(*) AS n FROM rows GROUP BY key, tag), srcs AS (SELECT key, count(DISTINCT source) AS n FROM rows GROUP BY key),
+found AS (SELECT key, tag FROM given JOIN srcs USING (key, n))"""
 
 
 def _host_tags(spark, d):
