@@ -54,7 +54,7 @@ class Scatter:
 def robust_scatter(stats: DataFrame) -> Scatter:
     """Reweighted location and scatter per language.
 
-    It starts at the inspected prose and, round by round, takes the pages within the bound of the last fit, so that
+    Prose must be the bulk of a language's pages, as for every robust scatter. It starts at the inspected prose and, round by round, takes the pages within the bound of the last fit, so that
     lists, noise and spam do not count. Each round adds up moments in every task and sums them per
     language; a row per task and language reaches the driver.
     """
