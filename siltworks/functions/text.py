@@ -58,12 +58,15 @@ SPACE_CLASS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}
 STRIP = f"^{SPACE_CLASS}+|{SPACE_CLASS}+$"
 CONTROL = r"[\x00-\x1f\x7f-\x{9f}]"
 PUNCT_CLASS = "[" + "".join(PUNCT) + "]"
+#: The same classes as strings of their characters, for ``btrim`` and ``translate``, which look a character up instead of trying a class's parts.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+CONTROLS = "".join(map(chr, [*range(0x20), *range(0x7F, 0xA0)]))
 DEDUP_DROP = "[" + "".join(PUNCT) + r"\x00-\x1f\x7f-\x{9f}]"
 
 
 def strip(col: Column) -> Column:
     """Without white space at both ends, by Python's notion of it."""
-    return F.regexp_replace(col, STRIP, "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def zero_digits(col: Column) -> Column:
@@ -78,12 +81,12 @@ def replace_unicode_punct(col: Column) -> Column:
 
 
 def remove_unicode_punct(col: Column) -> Column:
-    return F.regexp_replace(col, PUNCT_CLASS, "")
+    return F.translate(col, "".join(PUNCT), "")
 
 
 def remove_non_printing(col: Column) -> Column:
     """Without control characters; a tab or line feed vanishes, it does not become a space."""
-    return F.regexp_replace(col, CONTROL, "")
+    return F.translate(col, CONTROLS, "")
 
 
 @F.pandas_udf(T.StringType())
@@ -114,7 +117,7 @@ def normalize(col: Column, accent: bool = True, case: bool = True, numbers: bool
 
 def normalize_for_dedup(col: Column) -> Column:
     """Equal to ``normalize`` without accents and with punctuation removed, in one pass less."""
-    return F.regexp_replace(zero_digits(F.lower(strip(col))), DEDUP_DROP, "")
+    return F.translate(zero_digits(F.lower(strip(col))), "".join(PUNCT) + CONTROLS, "")
 
 
 def _literal(col: Column, *pairs: tuple[str, str]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltworks.functions import hashing, text, urls
 from siltworks.operators import buckets, dedup, describe, lid, lm, metadata, tags, verbs
 from siltworks.queries.registry import query
-from siltworks.session import materialize, table
+from siltworks.session import materialize, spread, table
 from siltworks.sources import readers, sinks
 
 SHARDS = 8
@@ -16,11 +16,11 @@ NETLOC_SQL = "regexp_extract({0}, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)"
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def mined(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "mined_docs")
+    return spread(table(spark, d, "mined_docs"))
 
 
 def line_rows(spark: SparkSession, d: str) -> DataFrame:

@@ -76,3 +76,10 @@ atexit.register(drop_scratch)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet test tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as there are cores if its files give fewer, as one small file does; a large table stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = len(df.inputFiles())
+    return df.repartition(cores) if files < cores and df.rdd.getNumPartitions() < cores else df
