@@ -2,9 +2,10 @@
 
 A page's text has lost its markup, so the tree is built from its lines: below the site stand presentation nodes (what a line looks like: its label, its
 tail, its mask, the parts between separators) and below those content nodes (what it says). The
-pages of one host are merged into one tree, copies of a page once. A content node on many pages has low importance, as its
-entropy over the pages is low; a presentation node that as many pages show has low importance whatever its
-contents, as it carries no choice of the page. Lines under unimportant nodes are the template;
+pages of one host are merged into one tree, copies of a page once. A content node on many pages has low importance.
+The importance of a presentation node is the entropy of the contents below it, as a share of the most that so many contents
+can have: bylines repeat their names, headlines of the same form do not. A label or tail is text besides, and has low importance whatever
+varies around it where that text is spread over many pages. Lines under unimportant nodes are the template;
 so are teasers that follow a heading after which the merged tree mostly holds teasers.
 """
 
@@ -24,6 +25,13 @@ from siltworks.session import materialize, table
 
 #: A node is unimportant from so many distinct pages, and from this share of its host's pages.
 LEAST_PAGES, SHARE = 3, 0.03
+#: A presentation node is important above this normalised entropy of its contents.
+VARIED = 0.97
+#: The fixed text of a label, and of a tail, makes its node unimportant from this share of its host's pages, whatever varies around it.
+LABEL_SHARE, TAIL_SHARE = 0.1, 0.25
+#: Kinds of nodes: what lines say; masks; labels; tails; last words after a break, which count by their fixed text alone.
+CONTENT, MASK, LABEL, TAIL, WORD = range(5)
+_KINDS = {"c": CONTENT, "p": CONTENT, "m": MASK, "l": LABEL, "t": TAIL, "w": WORD}
 #: Share of teasers among the lines that follow a heading of teasers.
 TEASERS = 0.55
 #: Copies of a host's nodes to which its pages are spread, against hot hosts.
@@ -70,8 +78,12 @@ class Line:
             nodes.append("l:" + key(label.group(1)))
         if not self.ended and len(words) > 3:
             nodes.append("t:" + key(" ".join(words[-2:])) if not han else "t:" + key(text)[-4:])
+            if not han and _CUT.search(text):
+                nodes.append("w:" + key(words[-1]))
         if len(words) <= 14 and not han:
             mask = [_mask(w) for w in words]
+            # a word between numbers is a month
+            mask = ["x" if 0 < i < len(mask) - 1 and mask[i - 1] == mask[i + 1] == "0" else m for i, m in enumerate(mask)]
             if sum(m not in ("x", "0") for m in mask) >= 1:
                 nodes.append("m:" + " ".join(_squeeze(mask)))
         elif han and self.size <= 12:
@@ -106,11 +118,13 @@ def read_lines(text: str) -> list[Line | None]:
     return out
 
 
-def page_nodes(text: str, title: str | None) -> dict[str, tuple[int, int]]:
-    """Nodes of a page: for each, how many of its lines are followed by a line, and how many of those by a teaser."""
+def page_nodes(text: str, title: str | None) -> tuple[dict[str, tuple[int, int]], set[tuple[str, str]]]:
+    """Nodes of a page: for each, how many of its lines are followed by a line, and how many of those by a teaser; and its presentation
+    nodes, each with every content node below it."""
     lines = [x for x in read_lines(text) if x]
     own = key(title) if title else ""
     out: dict[str, tuple[int, int]] = {}
+    below = {(node, "c:" + line.key) for line in lines for node in line.nodes}
     for i, line in enumerate(lines):
         after = lines[i + 1] if i + 1 < len(lines) else None
         plain = after is not None and not (own and own in after.key)
@@ -120,7 +134,7 @@ def page_nodes(text: str, title: str | None) -> dict[str, tuple[int, int]]:
             out[node] = (a + follows, b + teases)
         for part in set(line.parts):
             out.setdefault("p:" + part, (0, 0))
-    return out
+    return out, below
 
 
 def template_lines(text: str, title: str | None, known: dict[str, bool]) -> list[int]:
@@ -158,31 +172,55 @@ def _hash(host: str, node: str) -> int:
 def style_tree(pages: DataFrame) -> DataFrame:
     """``host, nodes array<string>, heads array<boolean>``: the unimportant nodes of every host, and which head a list of teasers.
 
-    Nodes are counted by distinct contents of pages, so copies count once; a page sends its nodes once. A host's list is bounded: a
-    node must be on ``SHARE`` of its pages, and a page has a bounded number.
+    Nodes are counted by distinct contents of pages, so copies count once; a page sends its content nodes once, and a presentation
+    node once for every content below it. From those partial counts comes the entropy that decides on presentation nodes. A host's
+    list is bounded: a node must be on ``SHARE`` of its pages, and a page has a bounded number.
     """
 
     def run(batches):
         for b in batches:
-            cols: list[list] = [[], [], [], [], []]
+            cols: list[list] = [[] for _ in range(8)]
             for host, title, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 copy = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
                 cols[0].append(host)
                 cols[1].append(copy)
-                found = page_nodes(text, title)
-                cols[2].append([_hash(host, n) for n in found])
-                cols[3].append([a for a, _ in found.values()])
-                cols[4].append([t for _, t in found.values()])
-            kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "copy", "nodes", "follows", "teases"])
-
-    found = pages.select("host", "title", "text").mapInArrow(run, "host string, copy bigint, nodes array<bigint>, follows array<int>, teases array<int>")
+                found, below = page_nodes(text, title)
+                codes = {n: _hash(host, n) for n in found}
+                # per row: node, kind, content below it, whether it is the node's first row of the page, and with that what follows
+                rows = [(codes[n], CONTENT, 0, 1, *x) for n, x in found.items() if n[0] in "cp"]
+                seen: set[str] = set()
+                for n, c in below:
+                    first = n not in seen
+                    seen.add(n)
+                    # 32 bits of the content's code tell the contents of one node apart
+                    rows.append((codes[n], _KINDS[n[0]], (codes[c] >> 32) or 1, int(first), *(found[n] if first else (0, 0))))
+                for col, values in zip(cols[2:], zip(*rows, strict=True) if rows else [()] * 6, strict=True):
+                    col.append(values)
+            ints, bytes_ = pa.list_(pa.int32()), pa.list_(pa.int8())
+            kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), bytes_, ints, bytes_, ints, ints)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "copy", "nodes", "kind", "content", "first", "follows", "teases"])
+
+    found = pages.select("host", "title", "text").mapInArrow(
+        run,
+        "host string, copy bigint, nodes array<bigint>, kind array<tinyint>, content array<int>, first array<tinyint>, follows array<int>, teases array<int>",
+    )
     # one row per distinct content of a host
     found = materialize(found.dropDuplicates(["host", "copy"]), "p4-nodes")
     sizes = found.groupBy("host").agg(F.count("*").alias("pages"))
-    nodes = found.select("host", F.explode(F.arrays_zip("nodes", "follows", "teases")).alias("x")).select("host", "x.*")
-    counts = nodes.groupBy("host", "nodes").agg(F.count("*").alias("on"), F.sum("follows").alias("follows"), F.sum("teases").alias("teases"))
+    nodes = found.select("host", F.explode(F.arrays_zip("nodes", "kind", "content", "first", "follows", "teases")).alias("x")).select("host", "x.*")
+    sums = [F.sum(x).alias(x) for x in ("first", "follows", "teases")]
+    parts = nodes.groupBy("host", "nodes", "kind", "content").agg(F.count("*").alias("n"), *sums)
+    # content nodes are whole by now, presentation nodes still by content
+    parts = parts.filter((F.col("kind") != CONTENT) | (F.col("n") >= LEAST_PAGES))
+    n = F.col("n")
+    counts = parts.groupBy("host", "nodes", "kind").agg(*sums, F.sum("n").alias("seen"), F.sum(n * F.log(n.cast("double"))).alias("logs"))
+    counts = counts.withColumnRenamed("first", "on")
     counts = counts.filter(F.col("on") >= LEAST_PAGES).join(sizes, "host").filter(F.col("on") >= SHARE * F.col("pages"))
+    # -sum(p log p) over its most, log(seen), with p = n / seen
+    importance = 1 - F.col("logs") / (F.col("seen") * F.log(F.col("seen").cast("double")))
+    fixed = F.when(F.col("kind") == LABEL, LABEL_SHARE).when(F.col("kind").isin(TAIL, WORD), TAIL_SHARE)
+    low = (F.col("kind") == CONTENT) | ((importance <= VARIED) & (F.col("kind") != WORD)) | (F.col("on") >= fixed * F.col("pages"))
+    counts = counts.filter(low)
     heads = (F.col("follows") >= 3) & (F.col("teases") >= TEASERS * F.col("follows"))
     listed = counts.groupBy("host").agg(F.collect_list(F.struct(F.col("nodes").alias("node"), heads.alias("head"))).alias("known"))
     return materialize(listed, "p4-tree")

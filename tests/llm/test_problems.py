@@ -158,6 +158,20 @@ def test_p4_finds_the_template(spark):
     assert p4.boilerplate(spark.createDataFrame(rows, SITE).limit(0)).count() == 0
 
 
+def test_p4_keeps_headlines_of_one_form(spark):
+    nouns = ["Haus", "Tor", "Lied", "Dach", "Feld", "Boot", "Glas", "Tuch", "Brot", "Salz", "Holz", "Buch"]
+    names = ["Jana Berg", "Olaf Stern", "Rita Wolf"]
+    rows, wanted = [], set()
+    for k in range(24):
+        lines = [f"Das stille {nouns[k]}: {nouns[-k]}{nouns[k]}, Ort {nouns[k]}ingen"] if k < 12 else []
+        lines.append(" ".join(nouns[(k * j + j) % 12] for j in range(1, 6)) + f" {chr(97 + k)}.")
+        lines += [f"Verfasst von {names[k % 3]} am {k + 1} {['Mai', 'Juni'][k // 3 % 2]} 2025", f"Previous: {nouns[k % 12]} {chr(97 + k)} {nouns[k // 2]}"]
+        rows.append((k, "http://h.example/", None, None, "\n".join(lines)))
+        wanted |= {(k, len(lines) - 2), (k, len(lines) - 1)}
+    found = {tuple(r) for r in p4.boilerplate(spark.createDataFrame(rows, SITE)).collect()}
+    assert found == wanted  # bylines repeat names and the label is fixed; the headlines share nothing but their mask
+
+
 def test_p6_against_counting(spark):
     rng = random.Random(5)
     rows = []
