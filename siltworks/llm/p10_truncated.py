@@ -198,12 +198,14 @@ def endings(docs: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
         return df.withColumn("at_length", F.coalesce("at_chars", "at_bytes", F.lit(False))).drop("at_chars", "at_bytes")
 
     sized = slim.filter("text <> ''").withColumns({"chars": F.length("text"), "bytes": F.octet_length("text")})
-    # texts with the least hashes: first those below a bound that leaves about 1.3 times as many as wanted, so that no
-    # task gets more than that to sort
+    # distinct texts with the least hashes, as copies would crowd out the others: first those below a bound that leaves about
+    # 1.3 times as many as wanted, so that no task gets more than that to sort
     grain = 1_000_000
-    bound = min(grain, 1 + int(1.3 * TRAIN_TEXTS * grain / max(1, sized.count())))
+    bound = min(grain, 1 + int(1.3 * TRAIN_TEXTS * grain / max(1, sized.select(F.xxhash64("text")).distinct().count())))
     draw = F.pmod(F.xxhash64("text"), F.lit(grain))
-    sample = sized.withColumn("draw", draw).filter(F.col("draw") < bound).orderBy("draw", "doc_id").limit(TRAIN_TEXTS)
+    drawn = sized.withColumn("draw", draw).filter(F.col("draw") < bound)
+    drawn = drawn.groupBy("draw", "text", "chars", "bytes").agg(F.min(F.struct("doc_id", "source", "title")).alias("x"))
+    sample = drawn.select("draw", "text", "chars", "bytes", "x.*").orderBy("draw", "doc_id").limit(TRAIN_TEXTS)
     weights = spark.sparkContext.broadcast(train([tuple(r) for r in flagged(sample).select("text", "at_length", "title").collect()]))
 
     def run(batches):

@@ -333,5 +333,16 @@ def test_p10_held_out_endings(spark):
     assert p10.cut_texts(df.limit(0)).count() == 0
 
 
+def test_p10_trains_on_distinct_texts(spark, monkeypatch):
+    texts = spark.createDataFrame([(f"Text number {k} goes on and",) for k in range(200)], "text string")
+    hot = texts.orderBy(F.pmod(F.xxhash64("text"), F.lit(1_000_000))).first()["text"]
+    rows = [(k, "s", None, r["text"]) for k, r in enumerate(texts.collect())] + [(1000 + k, "s", None, hot) for k in range(100)]
+    trained = []
+    monkeypatch.setattr(p10, "TRAIN_TEXTS", 50)
+    monkeypatch.setattr(p10, "train", lambda rows: trained.extend(rows) or {})
+    p10.endings(spark.createDataFrame(rows, DOCS))
+    assert len(trained) >= 30 and len({t for t, _, _ in trained}) == len(trained)
+
+
 def test_every_language_has_its_words():
     assert all(len(set(v)) == len(v) for v in NOUNS.values())
