@@ -18,6 +18,8 @@ from siltworks.sources import sinks
 
 #: Steps whose result the next ones read several times: it is written out rather than computed again.
 REUSED = {"dedup", "lid", "lid_before_dedup", "lm", "fetch_metadata"}
+#: Of several metadata rows of a record the last by these counts, as far as there are such columns.
+LATEST = ["written_at", "line_ids", "perplexity", "bucket", "language"]
 
 
 class Pipeline:
@@ -43,7 +45,7 @@ class Pipeline:
             "pp_bucket": lambda df: buckets.perplexity_bucket(df, self.cutoffs),
             "drop": lambda df: df.drop("tokenized"),
             "keep_bucket": lambda df: verbs.keep_bucket(df, self.config.keep_bucket),
-            "fetch_metadata": lambda df: metadata.fetch_metadata(df, self.meta, ["digest"], order=["doc_id"]),
+            "fetch_metadata": lambda df: metadata.fetch_metadata(df, self.meta, [c for c in LATEST if c in self.meta.columns] or ["digest"], order=["doc_id"]),
             "minify": metadata.minify,
         }
         return [(s, known[s]) for s in self.config.pipeline if s not in ("split_by_lang", "split_by_segment")]

@@ -256,3 +256,14 @@ def test_stream_keeps_the_first(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("first").count() == 3
+
+
+def test_pipeline_fetches_the_last_version(spark):
+    from siltworks.plans.config import Config
+    from siltworks.plans.pipeline import Pipeline
+
+    docs = spark.createDataFrame([(k, "s", f"d{k}", "a\nb") for k in range(20)], "doc_id bigint, cc_segment string, digest string, raw_content string")
+    versions = [("s", f"d{k}", "AAA=", bucket, at) for k in range(20) for bucket, at in ([("old", 1), ("new", 2)] if k % 2 else [("new", 2), ("old", 1)])]
+    meta = spark.createDataFrame(versions, "cc_segment string, digest string, line_ids string, bucket string, written_at int")
+    step = dict(Pipeline(Config(pipeline=["fetch_metadata"]), meta=meta).steps())["fetch_metadata"]
+    assert [(r["bucket"], r["raw_content"]) for r in step(docs).collect()] == [("new", "a")] * 20
