@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 _written: list[tuple[SparkSession, str]] = []
 
 
-def build_session(app: str = "siltworks", master: str | None = None, **conf: object) -> SparkSession:
-    """A session with adaptive execution, skew joins and UTC; ``conf`` keys use ``__`` for dots."""
+def build_session(app: str = "siltworks", master: str | None = None, shared: str | None = None, **conf: object) -> SparkSession:
+    """A session with adaptive execution, skew joins and UTC; ``conf`` keys use ``__`` for dots.
+
+    ``shared`` is the folder, reachable from all executors, for steps that are written out (``spark.checkpoint.dir``).
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -25,22 +28,35 @@ def build_session(app: str = "siltworks", master: str | None = None, **conf: obj
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
     } | {k.replace("__", "."): str(v) for k, v in conf.items()}
+    if shared:
+        settings["spark.checkpoint.dir"] = shared
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint
-    folder, else (only where neither is set, as in tests) a fresh local one."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
+
+    Where neither is set, a local master (tests) gets a fresh local folder; on a cluster that is an error, as every executor
+    would see another disk.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="siltworks-")
-        spark.sparkContext.setCheckpointDir(found)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="siltworks-"))
         found = spark.sparkContext.getCheckpointDir()
     return found
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, removed when the driver's Python ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet below the shared folder and read it back.
 
@@ -48,9 +64,8 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     driver's Python ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -79,7 +94,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over as many partitions as there are cores if its files give fewer, as one small file does; a large table stays as it is."""
+    """``df`` over as many partitions as there are cores where it comes in half as many or fewer, as one small file does."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df.repartition(cores) if files < cores and df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
