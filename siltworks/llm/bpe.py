@@ -1,8 +1,8 @@
 """Byte-pair encoding of words under a public vocabulary, in two ways.
 
-``RankArrayEncoder`` holds part boundaries and adjacent ranks of one word in arrays and scans
-for the minimum. ``LinkedCounter`` keeps a linked list of symbols with a priority queue
-of merges and only counts what survives.
+``RankArrayEncoder`` holds part boundaries and adjacent ranks of one short word in arrays and scans
+for the minimum. ``linked_symbols`` keeps a linked list of symbols with a priority queue
+of merges, which long words need, as a scan's time grows with the square of the length; ``LinkedCounter`` only counts what survives.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ SPLIT = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 
+#: Bytes of a word above which it is not short.
+SHORT = 128
 #: Words whose codes a worker keeps; beyond it the cache starts anew (results do not change).
 CACHE_WORDS = 400_000
 
@@ -54,11 +56,43 @@ class _Cache(dict):
         return found
 
 
+def linked_symbols(data: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Where each symbol ends that survives all merges, 0 at places where none begins."""
+    get = ranks.get
+    n = len(data)
+    # symbol i spans data[i:end[i]]; before links the neighbours, end 0 marks a dead symbol
+    end = list(range(1, n + 1))
+    before = list(range(-1, n - 1))
+    heap = []
+    for i in range(n - 1):
+        rank = get(data[i : i + 2])
+        if rank is not None:
+            heap.append((rank, i, i + 1, i + 2))
+    heapq.heapify(heap)
+    while heap:
+        _, left, middle, stop = heapq.heappop(heap)
+        if end[left] != middle or middle >= n or end[middle] != stop:
+            continue  # one of the two has changed since
+        end[left], end[middle] = stop, 0
+        if stop < n:
+            before[stop] = left
+            rank = get(data[left : end[stop]])
+            if rank is not None:
+                heapq.heappush(heap, (rank, left, stop, end[stop]))
+        if left:
+            prior = before[left]
+            rank = get(data[prior:stop])
+            if rank is not None:
+                heapq.heappush(heap, (rank, prior, left, stop))
+    return end
+
+
 class RankArrayEncoder:
     """Ids of texts by a contiguous array of adjacent ranks.
 
-    Per word: ``parts`` are the pieces between boundaries, ``ranks[i]`` the rank of joining parts i and i + 1. The
-    smallest rank is found by a scan, its boundary deleted, its two neighbours' ranks refreshed.
+    Per short word: ``parts`` are the pieces between boundaries, ``ranks[i]`` the rank of joining parts i and i + 1. The
+    smallest rank is found by a scan, its boundary deleted, its two neighbours' ranks refreshed. Longer words give the same ids by
+    ``linked_symbols``.
     """
 
     def __init__(self, path: str):
@@ -75,6 +109,8 @@ class RankArrayEncoder:
         whole = get(data)
         if whole is not None:
             return [whole]
+        if len(data) > SHORT:
+            return [self.ranks[data[i:z]] for i, z in enumerate(linked_symbols(data, self.ranks)) if z]
         none = 1 << 30
         parts = [data[i : i + 1] for i in range(len(data))]
         ranks = [get(data[i : i + 2], none) for i in range(len(data) - 1)]
@@ -110,37 +146,9 @@ class LinkedCounter:
         return self.count_bytes(word.encode("utf-8", "surrogatepass"))
 
     def count_bytes(self, data: bytes) -> int:
-        get = self.ranks.get
-        if get(data) is not None:
+        if data in self.ranks:
             return 1
-        n = len(data)
-        # symbol i spans data[i:end[i]]; before/after link the neighbours, end 0 marks a dead symbol
-        end = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            rank = get(data[i : i + 2])
-            if rank is not None:
-                heap.append((rank, i, i + 1, i + 2))
-        heapq.heapify(heap)
-        alive = n
-        while heap:
-            _, left, middle, stop = heapq.heappop(heap)
-            if end[left] != middle or middle >= n or end[middle] != stop:
-                continue  # one of the two has changed since
-            end[left], end[middle] = stop, 0
-            alive -= 1
-            if stop < n:
-                before[stop] = left
-                rank = get(data[left : end[stop]])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, left, stop, end[stop]))
-            if left:
-                prior = before[left]
-                rank = get(data[prior:stop])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, prior, left, stop))
-        return alive
+        return sum(map(bool, linked_symbols(data, self.ranks)))
 
     def count(self, text: str | None) -> int:
         return sum(map(self.words.__getitem__, self.find(text))) if text else 0

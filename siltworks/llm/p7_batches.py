@@ -1,49 +1,49 @@
-"""Problem 7: duplicates of new batches against all history by an inverted index of rare prefixes.
+"""Problem 7: duplicates of new batches against all history by an incremental inverted index of rare prefixes.
 
 A text is the set of its distinct runs of five words (characters in Chinese). Two texts match if more
-than half of all runs of both are in both. All runs are put in one order, rarest first, by a
-frequency table of fixed size; of n runs the first ceil(n / 2) are the *long* prefix and the first
-n - floor(2n / 3) the *short* one. Two matching texts share a run that is in the long prefix of the
-larger and in the short prefix of the smaller. Runs are paired long with long, hot ones short with
-long, which loses no pair; wording that up to two thirds of many texts share never meets itself there.
+than half of all runs of both are in both. All runs are put in one order, rarest first, fixed when the index is
+started; of n runs the first ceil(n / 2) are the *long* prefix and the first n - floor(2n / 3) the *short* one. Two matching
+texts share a run that is in the long prefix of the larger and in the short prefix of the smaller.
+
+The index holds the postings of the long prefixes, bucketed by run, and the texts, bucketed by text. A batch is
+appended and its prefixes are probed: only the batch travels, to the buckets where the history lies; text that was accepted before is
+neither tokenised again nor shuffled.
 """
 
 from __future__ import annotations
 
+import zlib
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import has_bit, merged_slices
+from siltworks.llm.common import bucketed_table, count_parts, level_counts, merged_levels, to_levels
 from siltworks.llm.words import runs, word_codes
-from siltworks.session import materialize, table
+from siltworks.session import materialize, scratch, spread, table
 
 MIN_CHARS = 200
-#: Entries of the frequency table (2 bytes each) and bits of the two filters; fixed, whatever the tables' sizes.
-FREQUENCIES, TOKEN_BITS, TEXT_BITS = 1 << 23, 1 << 26, 1 << 24
+#: Least and greatest number of counters of the frequency table, a byte each; between them it has COUNTERS_EACH a record. The
+#: table is what is broadcast; its number is a power of two that the index keeps from its start on.
+LEAST_COUNTERS, MOST_COUNTERS, COUNTERS_EACH = 1 << 21, 1 << 26, 32
 #: Least bits of a sketch per run of the text.
 SKETCH = 4
-#: A run is hot above so many times the table's mean plus a constant.
-HOT, HOT_LEAST = 4, 64
-
-
-def record_words(df: DataFrame, new: bool, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``rec_id, new, words``: the word codes of every record that counts."""
-
-    def run(batches):
-        for b in batches:
-            coded = [word_codes(t).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([new] * len(coded), pa.bool_()), pa.array(coded, pa.binary())], ["rec_id", "new", "words"])
-
-    slim = df.select(df["rec_id"].alias("rec_id"), df["raw_content"].alias("text"))
-    slim = slim.filter((F.length("text") >= min_chars) & F.col("rec_id").isNotNull())
-    return slim.mapInArrow(run, "rec_id bigint, new boolean, words binary").filter(F.length("words") > 0)
+#: A list of postings is split above so many times the mean counter plus a constant, into at most so many parts.
+LONG, LONG_LEAST, SPLITS = 4, 64, 64
+#: Keys up to which a lookup names them one by one, so that buckets and pages without them are not read; records of a batch in which that is tried.
+FEW, SMALL = 2_000, 20
+#: Postings in a bucket, texts in a bucket, and records of one text above which they are spread when pairs are written.
+BUCKET_POSTINGS, BUCKET_TEXTS, COPIES = 4_000_000, 200_000, 20_000
 
-
-def _sets(column: pa.Array):
-    for data in column.to_pylist():
-        yield runs(np.frombuffer(data, np.uint32))
+_RECORDS = "rec_id bigint, text_key bigint, n int, sketch binary, words binary, at int, part binary"
+_TABLES = {
+    "postings": ("slot BIGINT, text_key BIGINT, n INT, pos INT", "slot"),
+    "texts": ("text_key BIGINT, n INT, sketch BINARY, words BINARY", "text_key"),
+    "members": ("rec_id BIGINT, text_key BIGINT", "text_key"),
+}
 
 
 def _signature(found: np.ndarray) -> int:
@@ -53,171 +53,96 @@ def _signature(found: np.ndarray) -> int:
     return int(np.uint64(np.bitwise_xor.reduce(mixed) + np.uint64(len(x))).view(np.int64))
 
 
-def run_frequencies(docs: DataFrame) -> np.ndarray:
-    """Counts of the runs of all texts, by the run's hash modulo the table's size."""
-
-    def all_runs(batch):
-        return np.concatenate([np.empty(0, np.int64), *_sets(batch.column(0))])
-
-    counts = merged_slices(docs.select("words"), FREQUENCIES, "counts", 1 << 17, all_runs)
-    return np.minimum(counts, 65_535).astype(np.uint16)
-
-
-def _prefixes(column: pa.Array, freq: np.ndarray):
-    """Per text its set of runs, the long prefix of it in rising frequency, and which of that is hot."""
-    hot = HOT * freq.mean() + HOT_LEAST
-    for found in _sets(column):
-        count = freq[found & (FREQUENCIES - 1)]
-        order = np.lexsort((found, count))[: len(found) - len(found) // 2]
-        yield found, found[order], count[order] > hot
-
-
-def prefix_bits(docs: DataFrame, frequencies) -> np.ndarray:
-    """A bitmap of the runs in the long prefixes of all texts."""
-
-    def tokens(batch):
-        return np.concatenate([np.empty(0, np.int64), *(t for _, t, _ in _prefixes(batch.column(0), frequencies.value))])
-
-    return merged_slices(docs.select("words"), TOKEN_BITS, "bits", 1 << 18, tokens)
+def _sketch(found: np.ndarray) -> bytes:
+    """The number of runs, and a bitmap of SKETCH to twice as many bits a run, of which each run sets one."""
+    size = max(64, 1 << (SKETCH * len(found) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(found >> 20) & (size - 1)] = 1
+    return np.int64(len(found)).tobytes() + np.packbits(bits).tobytes()
 
 
-def postings(docs: DataFrame, frequencies, allowed=None, only: bool | None = None) -> DataFrame:
-    """``token, text_key, meta``: the long prefix of every text; ``only`` True or False keeps the hot or the other runs.
+def read_records(df: DataFrame, counters: int, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The one pass over raw texts: rows of ``_RECORDS``.
 
-    ``meta`` packs the text's number of runs, the token's position and the flags hot, short and new. ``frequencies`` and
-    ``allowed`` are broadcasts of fixed size; runs whose bit is not in ``allowed`` are left out, which only drops runs no new
-    record has in its prefix.
+    Records: ``rec_id, text_key``, and once a task for each text its number of runs, sketch and word codes. Besides, every
+    task adds its counts of all runs as rows of ``at, part``.
     """
 
     def run(batches):
-        bits = allowed.value if allowed is not None else None
+        counts, seen = np.zeros(counters, np.int64), set()
         for b in batches:
-            cols: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(3)]
-            for (found, token, hot), new in zip(_prefixes(b.column(1), frequencies.value), b.column(0).to_pylist(), strict=True):
-                n, pos = len(found), np.arange(len(token), dtype=np.int64)
-                meta = (n << 34) | (pos << 3) | (hot.astype(np.int64) << 2) | ((pos < n - 2 * n // 3).astype(np.int64) << 1) | new
-                if only is not None:
-                    token, meta = token[hot == only], meta[hot == only]
-                if bits is not None and not new:
-                    keep = has_bit(bits, token)
-                    token, meta = token[keep], meta[keep]
-                for col, x in zip(cols, (token, np.full(len(token), _signature(found)), meta), strict=True):
-                    col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["token", "text_key", "meta"])
-
-    return docs.select("new", "words").mapInArrow(run, "token bigint, text_key bigint, meta bigint")
+            rows: list[tuple] = []
+            every = [np.empty(0, np.int64)]
+            for rec, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                codes = word_codes(text)
+                if not len(codes):
+                    continue
+                found = runs(codes)
+                every.append(found)
+                key = _signature(found)
+                first = key not in seen
+                seen.add(key)
+                rows.append((rec, key, *((len(found), _sketch(found), codes.tobytes()) if first else (None, None, None)), None, None))
+            np.add.at(counts, np.concatenate(every) & (counters - 1), 1)
+            yield _batch(rows)
+        yield _batch([(None, None, None, None, None, at, part) for at, part in count_parts(counts)])
+
+    def _batch(rows):
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
+        names = [x.split(" ")[0] for x in _RECORDS.split(", ")]
+        columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-
-def _flag(meta, bit: int):
-    return meta.bitwiseAND(1 << bit) != 0
+    slim = df.select(df["rec_id"].alias("rec_id"), df["raw_content"].alias("text"))
+    slim = spread(slim.filter((F.length("text") >= min_chars) & F.col("rec_id").isNotNull()))
+    return materialize(slim.mapInArrow(run, _RECORDS), "p7-records")
 
 
-def _fits(size_a, rest_a, size_b, rest_b):
-    """Whether two texts that share a run, after which so many of each remain (with it), can share enough."""
-    least, most = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    return (2 * least > most) & (np.minimum(rest_a, rest_b) >= (size_a + size_b) // 3 + 1)
+class Order:
+    """The order of runs, fixed at the start, and the counts so far, by which long lists are split; a byte a counter each."""
 
+    def __init__(self, first: np.ndarray, now: np.ndarray):
+        self.first, self.now = first, now
+        self.bound = LONG * float(level_counts(np.arange(256)) @ np.bincount(now, minlength=256)) / len(now) + LONG_LEAST
 
-def _met(token: np.ndarray, key: np.ndarray, meta: np.ndarray) -> np.ndarray:
-    """Distinct pairs of text keys, as rows, from postings sorted by token."""
-    size, new = meta >> 34, meta & 1
-    rest = size - ((meta >> 3) & ((1 << 31) - 1))
-    out, at, step = [np.empty((0, 2), np.int64)], np.arange(len(token)), 1
-    while len(at):
-        at = at[at < len(token) - step]
-        at = at[token[at] == token[at + step]]  # who has no neighbour at this distance has none further away
-        a, b = at, at + step
-        ok = ((new[a] | new[b]) > 0) & (key[a] != key[b]) & _fits(size[a], rest[a], size[b], rest[b])
-        a, b = key[a[ok]], key[b[ok]]
-        out.append(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
-        step += 1
-    return np.unique(np.concatenate(out), axis=0)
+    def prefix(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The long prefix of a text's runs in their order, and into how many parts the list of each is split."""
+        cell = found & (len(self.first) - 1)
+        order = np.lexsort((found, self.first[cell]))[: len(found) - len(found) // 2]
+        parts = np.ceil(level_counts(self.now[cell[order]]) / self.bound)
+        return found[order], np.clip(parts, 1, SPLITS).astype(np.int64)
 
 
-def _cold_pairs(batches):
-    """Pairs from a partition sorted by token; a token's postings, bounded in number, may lie in two batches."""
-    kept = [np.empty(0, np.int64)] * 3
-    for b in batches:
-        cols = [np.concatenate([k, b.column(i).to_numpy()]) for i, k in enumerate(kept)]
-        start = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
-        pairs = _met(*(c[:start] for c in cols))
-        kept = [c[start:] for c in cols]
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key_a", "key_b"])
-    pairs = _met(*kept)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key_a", "key_b"])
+def _slot(token: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """The place of a part of a run's list; part 0 is the run itself. Slots that meet by chance only give candidates."""
+    return (token.view(np.uint64) ^ (part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
 
 
-def candidate_texts(cold: DataFrame, hot: DataFrame) -> DataFrame:
-    """Distinct pairs ``(key_a, key_b)`` of different texts, one with a new record, that may match.
+def prefix_rows(texts: DataFrame, order, every_part: bool) -> DataFrame:
+    """``slot, text_key, n, pos`` of the long prefixes of ``texts`` (text_key, words).
 
-    Postings of runs that are not hot, of which a token has a bounded number, go by token to one exchange and are paired in sorted
-    order. Hot ones are merged by text and joined, short with long prefixes only, so that common wording does not meet itself.
+    A text is stored in one part of each run's list, by its key, and asks for every part. A counter never falls and with it the number of
+    parts, so whoever asks finds what was stored when there were fewer.
     """
 
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        merged = rows.groupBy("token", "text_key").agg(F.bit_or("meta").alias("meta"))
-        return merged.select(*[F.col(c).alias(f"{name}_{c}") for c in ("token", "text_key", "meta")])
-
-    def met(left: DataFrame, right: DataFrame, small: str, large: str) -> DataFrame:
-        n = {s: F.shiftright(f"{s}_meta", 34) for s in "pq"}
-        rest = {s: n[s] - F.shiftright(f"{s}_meta", 3).bitwiseAND((1 << 31) - 1) for s in "pq"}
-        fits = (n[small] <= n[large]) & (2 * n[small] > n[large]) & (F.least(rest["p"], rest["q"]) >= F.floor((n["p"] + n["q"]) / 3) + 1)
-        joined = left.join(right, (F.col("p_token") == F.col("q_token")) & (F.col("p_text_key") != F.col("q_text_key")) & fits)
-        return joined.select(F.least("p_text_key", "q_text_key").alias("key_a"), F.greatest("p_text_key", "q_text_key").alias("key_b"))
-
-    new, short = _flag(F.col("meta"), 0), _flag(F.col("meta"), 1)
-    by_token = cold.repartition("token").sortWithinPartitions("token")
-    pairs = by_token.mapInArrow(_cold_pairs, "key_a bigint, key_b bigint")
-    pairs = pairs.union(met(side(hot.filter(new & short), "p"), side(hot, "q"), "p", "q"))
-    pairs = pairs.union(met(side(hot.filter(new), "p"), side(hot.filter(short), "q"), "q", "p"))
-    return pairs.distinct()
-
-
-def member_rows(docs: DataFrame) -> DataFrame:
-    """``rec_id, new, text_key`` of all records."""
-
     def run(batches):
         for b in batches:
-            keys = pa.array([_signature(x) for x in _sets(b.column(2))], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), keys], ["rec_id", "new", "text_key"])
-
-    return docs.select("rec_id", "new", "words").mapInArrow(run, "rec_id bigint, new boolean, text_key bigint")
-
-
-def _texts(pairs: DataFrame, docs: DataFrame, column: str, of) -> DataFrame:
-    """``text_key`` and a binary ``column`` that ``of`` makes from a text's runs, once for each text of ``pairs``."""
-    bits = merged_slices(pairs.select(F.explode(F.array("key_a", "key_b"))), TEXT_BITS, "bits", 1 << 18)
-    wanted = pairs.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches):
-        for b in batches:
-            found = [(_signature(x), x) for x in _sets(b.column(0))]
-            keep = has_bit(wanted.value, np.array([k for k, _ in found], np.int64))
-            found = [x for x, yes in zip(found, keep, strict=True) if yes]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([of(x) for _, x in found], pa.binary())], ["text_key", column])
-
-    return materialize(docs.select("words").mapInArrow(run, f"text_key bigint, {column} binary").dropDuplicates(["text_key"]), f"p7-{column}")
-
-
-def _sketch(found: np.ndarray) -> bytes:
-    """The number of runs, and a bitmap of SKETCH to twice as many bits a run, of which each run sets one."""
-    size = max(64, 1 << (SKETCH * len(found) - 1).bit_length())
-    bits = np.zeros(size, np.uint8)
-    bits[(found >> 20) & (size - 1)] = 1
-    return np.int64(len(found)).tobytes() + np.packbits(bits).tobytes()
-
-
-def _both(pairs: DataFrame, texts: DataFrame, column: str, keep) -> DataFrame:
-    """The pairs for whose two values of ``column`` ``keep`` holds."""
-    a, b = (texts.select(F.col("text_key").alias(f"key_{s}"), F.col(column).alias(f"{column}_{s}")) for s in "ab")
-
-    def check(batches):
-        for batch in batches:
-            mask = pa.array(keep(batch.column(f"{column}_a").to_pylist(), batch.column(f"{column}_b").to_pylist()), pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("key_a").filter(mask), batch.column("key_b").filter(mask)], ["key_a", "key_b"])
+            cols: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int32)]]
+            for key, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found = runs(np.frombuffer(data, np.uint32))
+                token, parts = order.value.prefix(found)
+                pos = np.arange(len(token), dtype=np.int32)
+                if every_part:
+                    pos = np.repeat(pos, parts)
+                    part = np.arange(len(pos)) - np.repeat(np.cumsum(parts) - parts, parts)
+                else:
+                    part = (key & 0x7FFFFFFF) % parts
+                slots = _slot(token[pos], part)
+                for col, x in zip(cols, (slots, np.full(len(pos), key, np.int64), np.full(len(pos), len(found), np.int32), pos), strict=True):
+                    col.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["slot", "text_key", "n", "pos"])
 
-    joined = pairs.join(a, "key_a").join(b, "key_b").select("key_a", "key_b", f"{column}_a", f"{column}_b")
-    return joined.mapInArrow(check, "key_a bigint, key_b bigint")
+    return texts.select("text_key", "words").mapInArrow(run, "slot bigint, text_key bigint, n int, pos int")
 
 
 def _may_match(a: list[bytes], b: list[bytes]) -> list[bool]:
@@ -239,98 +164,208 @@ def _may_match(a: list[bytes], b: list[bytes]) -> list[bool]:
 def _match(a: list[bytes], b: list[bytes]) -> list[bool]:
     keep = []
     for x, y in zip(a, b, strict=True):
-        x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+        x, y = runs(np.frombuffer(x, np.uint32)), runs(np.frombuffer(y, np.uint32))
         both = len(np.intersect1d(x, y, assume_unique=True))
         keep.append(2 * both > len(x) + len(y) - both)
     return keep
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The ``pairs`` of texts of which more than half of all runs are in both.
+class BatchIndex:
+    """The index kept between batches, in a folder: postings, texts, members of texts, and the frequency table.
 
-    Sketches rule out most pairs, none of them a match; only the rest is joined with whole sets of runs.
+    ``add(batch)`` appends a batch and gives the pairs of texts of it, and of it with everything accepted before. The first batch
+    given to ``start`` fixes the order of runs and gives no pairs. A text is indexed once, however many records have it.
     """
-    likely = materialize(_both(pairs, _texts(pairs, docs, "sketch", _sketch), "sketch", _may_match), "p7-likely")
-    return _both(likely, _texts(likely, docs, "runs", lambda x: x.tobytes()), "runs", _match)
 
+    def __init__(self, spark: SparkSession, folder: str, min_chars: int = MIN_CHARS):
+        self.spark, self.folder, self.min_chars = spark, folder.rstrip("/"), min_chars
 
-def expand(links: DataFrame, members: DataFrame) -> DataFrame:
-    """``rec_id_a, rec_id_b`` (smaller first), at least one of them new: records of linked texts, and of one text."""
-    a = members.select(F.col("text_key").alias("key_a"), F.col("rec_id").alias("x"), F.col("new").alias("new_x"))
-    b = members.select(F.col("text_key").alias("key_b"), F.col("rec_id").alias("y"), F.col("new").alias("new_y"))
-    linked = links.join(a, "key_a").join(b, "key_b").filter(F.col("new_x") | F.col("new_y"))
-    copies = a.filter("new_x").join(b, F.col("key_a") == F.col("key_b")).filter(F.col("x") != F.col("y"))
-    both = linked.select("x", "y").union(copies.select("x", "y"))
-    return both.select(F.least("x", "y").alias("rec_id_a"), F.greatest("x", "y").alias("rec_id_b")).distinct()
+    # state
 
+    def _table(self, kind: str, buckets: int | None = None) -> str:
+        """The name of a bucketed table; made, or found again in its folder by another session."""
+        return bucketed_table(self.spark, f"{self.folder}/{kind}", *_TABLES[kind], buckets or self.buckets[kind])
 
-def batch_duplicates(accepted: DataFrame, incoming: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Distinct ``(rec_id_a, rec_id_b)``, smaller first: matching records, at least one of them in ``incoming``.
-
-    ``digest`` and all other columns but ``rec_id`` and ``raw_content`` are not read. Null ids, null texts, texts under
-    ``min_chars`` characters and texts without words never match; a repeated row (same id) does not match
-    itself; an empty table gives no rows. Whole texts are compared, at any length.
-    """
-    spark = incoming.sparkSession
-    context = spark.sparkContext
-    docs = materialize(record_words(accepted, False, min_chars).union(record_words(incoming, True, min_chars)), "p7-words")
-    freq = context.broadcast(run_frequencies(docs))
-    allowed = context.broadcast(prefix_bits(docs.filter("new"), freq))
-    cold = postings(docs, freq, allowed, only=False)
-    hot = materialize(postings(docs, freq, allowed, only=True), "p7-hot")
-    pairs = materialize(candidate_texts(cold, hot), "p7-pairs")
-    members = materialize(member_rows(docs), "p7-members")
-    return expand(verified(pairs, docs), members)
+    @cached_property
+    def buckets(self) -> dict[str, int]:
+        return self.spark.read.json(f"{self.folder}/buckets").first().asDict()
 
+    def _insert(self, kind: str, rows: DataFrame, sorted_already: bool = False) -> None:
+        name = self._table(kind)
+        rows = rows if sorted_already else rows.repartition(self.buckets[kind], _TABLES[kind][1])
+        rows.write.insertInto(name)
 
-class BatchIndex:
-    """The index kept between batches: a folder with the words, postings (by token bucket) and frequency table.
+    def _read_order(self) -> tuple[Order, int]:
+        """The order and the number of batches it has seen."""
+        rows = self.spark.read.parquet(f"{self.folder}/order")
+        versions = [r[0] for r in rows.select("version").collect()]
+        first, now = (rows.filter(F.col("version") == v).first()["levels"] for v in (0, max(versions)))
+        return Order(*(np.frombuffer(zlib.decompress(x), np.uint8) for x in (first, now))), max(versions)
 
-    ``start`` fixes the order of runs from the first records. ``probe`` gives the matches of a batch with everything
-    accepted so far and within itself, reading the postings only; ``append`` then adds the batch. An appended record
-    is never indexed again.
-    """
+    def _write_order(self, levels: np.ndarray, version: int) -> None:
+        row = pa.table({"version": pa.array([version], pa.int32()), "levels": pa.array([zlib.compress(levels.tobytes(), 1)], pa.binary())})
+        self.spark.createDataFrame(row).coalesce(1).write.mode("append").parquet(f"{self.folder}/order")
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64):
-        self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
+    def _rows(self, kind: str, keys: DataFrame, small: bool) -> DataFrame:
+        """The rows of a table for ``keys`` (of one column, its bucketing one).
 
-    def _write(self, docs: DataFrame, freq) -> None:
-        bucket = F.pmod(F.xxhash64("token"), F.lit(self.buckets)).alias("bucket")
-        rows = postings(docs, freq).select("*", bucket)
-        rows.repartition("bucket", F.pmod("text_key", F.lit(8))).write.partitionBy("bucket").mode("append").parquet(f"{self.folder}/postings")
-        docs.write.mode("append").parquet(f"{self.folder}/words")
+        In a small batch few keys are named in the query, so that other buckets, row groups and pages are not read. Else the keys travel to the
+        buckets; the table is scanned where it lies and never shuffled.
+        """
+        by = _TABLES[kind][1]
+        stored = self.spark.table(self._table(kind))
+        few = [r[0] for r in keys.limit(FEW + 1).collect()] if small else None
+        if few is not None and len(few) <= FEW:
+            return stored.filter(F.col(by).isin(few)) if few else stored.limit(0)
+        return stored.join(keys.toDF(by).distinct().hint("shuffle_hash"), by, "left_semi")
 
-    def _frequencies(self):
-        row = self.spark.read.parquet(f"{self.folder}/frequencies").first()
-        return self.spark.sparkContext.broadcast(np.frombuffer(row["counts"], np.uint16))
+    # steps
 
     def start(self, accepted: DataFrame) -> None:
-        docs = materialize(record_words(accepted, False), "p7-start")
-        counts = run_frequencies(docs)
-        self.spark.createDataFrame([(bytearray(counts.tobytes()),)], "counts binary").write.mode("overwrite").parquet(f"{self.folder}/frequencies")
-        self._write(docs, self.spark.sparkContext.broadcast(counts))
-
-    def probe(self, batch: DataFrame) -> DataFrame:
-        freq = self._frequencies()
-        docs = materialize(record_words(batch, True), "p7-batch")
-        allowed = self.spark.sparkContext.broadcast(prefix_bits(docs, freq))
-
-        def known(batches):
-            for b in batches:
-                token = b.column(0).to_numpy(zero_copy_only=False)
-                yield b.filter(pa.array(has_bit(allowed.value, token)))
-
-        old = self.spark.read.parquet(f"{self.folder}/postings").select("token", "text_key", "meta").mapInArrow(known, "token bigint, text_key bigint, meta bigint")
-        index = old.union(postings(docs, freq))
-        hot = _flag(F.col("meta"), 2)
-        pairs = materialize(candidate_texts(index.filter(~hot), index.filter(hot)), "p7-pairs")
-        history = self.spark.read.parquet(f"{self.folder}/words").withColumn("new", F.lit(False))
-        everything = history.unionByName(docs)
-        return expand(verified(pairs, everything), materialize(member_rows(everything), "p7-members"))
+        """Index the records from which the order of runs is taken."""
+        counters = 1 << (COUNTERS_EACH * accepted.count()).bit_length()
+        counters = min(max(counters, LEAST_COUNTERS), MOST_COUNTERS)
+        records = read_records(accepted, counters, self.min_chars)
+        levels = merged_levels(records.filter("part is not null").select("at", "part"), counters)
+        runs_, texts_ = records.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+        cores = self.spark.sparkContext.defaultParallelism
+        postings, texts = max(cores, runs_ // 2 // BUCKET_POSTINGS), max(cores, texts_ // BUCKET_TEXTS)
+        sizes = {"postings": postings, "texts": texts, "members": texts}
+        self.spark.createDataFrame([tuple(sizes.values())], ", ".join(f"{k} int" for k in sizes)).coalesce(1).write.mode("overwrite").json(f"{self.folder}/buckets")
+        for kind, n in sizes.items():
+            self._table(kind, n)
+        order = Order(levels, levels)
+        self._write_order(levels, 0)
+        once = records.filter("words is not null").select("text_key", "n", "sketch", "words")
+        self._insert("texts", once.repartition(texts, "text_key").dropDuplicates(["text_key"]), True)
+        shared = self.spark.sparkContext.broadcast(order)
+        self._insert("postings", prefix_rows(self.spark.table(self._table("texts")), shared, False))
+        self._insert("members", records.filter("rec_id is not null").select("rec_id", "text_key"))
+
+    def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Append a batch; ``links`` (key_a, key_b) of its texts with other texts, and its ``members`` (rec_id, text_key)."""
+        before, version = self._read_order()
+        records = read_records(batch, len(before.first), self.min_chars)
+        own = records.filter("rec_id is not null").select("rec_id", "text_key")
+        fresh = merged_levels(records.filter("part is not null").select("at", "part"), len(before.first))
+        now, seen = before.now.copy(), fresh > 0
+        now[seen] = to_levels(level_counts(now[seen]) + level_counts(fresh[seen]))
+        shared = self.spark.sparkContext.broadcast(Order(before.first, now))
+
+        once = records.filter("words is not null").select("text_key", "n", "sketch", "words").dropDuplicates(["text_key"])
+        few = records.filter("words is not null").limit(SMALL + 1).count() <= SMALL
+        known = self._rows("texts", once.select("text_key"), few).select("text_key", F.lit(True).alias("known"))
+        texts = materialize(once.join(known, "text_key", "left"), "p7-texts")
+        new = texts.filter("known is null").drop("known")
+        with ThreadPoolExecutor(3) as jobs:  # three tables, none of which waits for another
+            rows = {"postings": prefix_rows(new, shared, False), "texts": new, "members": own}
+            list(jobs.map(lambda kind: self._insert(kind, rows[kind]), rows))
+        self._write_order(now, version + 1)
+        return self._links(texts, shared, few), own
+
+    def _links(self, texts: DataFrame, order, few: bool) -> DataFrame:
+        asked = prefix_rows(texts, order, True)
+        if few:
+            asked = materialize(asked, "p7-asked")
+            stored = self._rows("postings", asked.select("slot").distinct(), True)
+        else:
+            stored = self.spark.table(self._table("postings"))
+        stored = stored.select("slot", F.col("text_key").alias("key_b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+        asked = asked.select("slot", F.col("text_key").alias("key_a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
+
+        def short(side: str):
+            n = F.col(f"n_{side}")
+            return F.col(f"pos_{side}") < n - F.floor(2 * n / 3)
+
+        n_a, n_b = F.col("n_a"), F.col("n_b")
+        shortly = ((n_a <= n_b) & short("a")) | ((n_b <= n_a) & short("b"))
+        most = F.least(n_a - F.col("pos_a"), n_b - F.col("pos_b"))
+        fits = (2 * F.least(n_a, n_b) > F.greatest(n_a, n_b)) & (most >= F.floor((n_a + n_b) / 3) + 1)
+        met = stored.join(asked.hint("shuffle_hash"), "slot").filter(shortly & fits & (F.col("key_a") != F.col("key_b")))
+        pairs = materialize(met.select("key_a", "key_b").distinct(), "p7-pairs")
+        likely = materialize(self._both(pairs, texts, "sketch", _may_match, few), "p7-likely")
+        return self._both(likely, texts, "words", _match, few)
+
+    def _both(self, pairs: DataFrame, texts: DataFrame, column: str, keep, few: bool) -> DataFrame:
+        """The pairs for whose two values of ``column`` ``keep`` holds; the batch's come from ``texts``, the others from the index."""
+        a = texts.select(F.col("text_key").alias("key_a"), F.col(column).alias("of_a"))
+        b = self._rows("texts", pairs.select("key_b").distinct(), few).select(F.col("text_key").alias("key_b"), F.col(column).alias("of_b"))
+
+        def check(batches):
+            for x in batches:
+                mask = pa.array(keep(x.column("of_a").to_pylist(), x.column("of_b").to_pylist()), pa.bool_())
+                yield pa.RecordBatch.from_arrays([x.column(c).filter(mask) for c in ("key_a", "key_b")], ["key_a", "key_b"])
+
+        joined = pairs.join(a, "key_a").join(b, "key_b").select("key_a", "key_b", "of_a", "of_b")
+        return joined.mapInArrow(check, "key_a bigint, key_b bigint")
+
+    def pairs(self, batch: DataFrame) -> DataFrame:
+        """``add``, and the records behind it: ``rec_id_a, rec_id_b`` (smaller first), one of them in the batch."""
+        links, own = self.add(batch)
+        few = own.limit(SMALL + 1).count() <= SMALL
+        same = own.select(F.col("text_key").alias("key_a"), F.col("text_key").alias("key_b")).distinct()
+        links = materialize(links.union(same), "p7-links")
+        members = materialize(self._rows("members", links.select("key_b").distinct(), few).distinct(), "p7-members")
+        # the records of a text with very many copies are spread
+        large = members.groupBy("text_key").agg(F.ceil(F.count("*") / COPIES).cast("int").alias("ways")).filter("ways > 1")
+        large = large.withColumnRenamed("text_key", "key_b")
+        ways = F.coalesce("ways", F.lit(1))
+        members = members.withColumnRenamed("text_key", "key_b").join(large, "key_b", "left")
+        members = members.select("key_b", F.col("rec_id").alias("y"), F.pmod(F.xxhash64("rec_id"), ways).cast("int").alias("way"))
+        asked = own.select(F.col("text_key").alias("key_a"), F.col("rec_id").alias("x")).join(links, "key_a").join(large, "key_b", "left")
+        asked = asked.select("key_b", "x", F.explode(F.sequence(F.lit(0), ways - 1)).alias("way"))
+        both = asked.join(members, ["key_b", "way"]).filter("x <> y")
+        return both.select(F.least("x", "y").alias("rec_id_a"), F.greatest("x", "y").alias("rec_id_b")).distinct()
+
+    def classes(self, batch: DataFrame) -> DataFrame:
+        """``add``, one row per record of the batch that counts: ``rec_id, class_id, copies, links``.
+
+        ``class_id`` is the same for records of one text, ``copies`` how many other records have that text, ``links`` how many records
+        have another text that matches.
+        """
+        links, own = self.add(batch)
+        links = materialize(links, "p7-links")
+        keys = own.select("text_key").union(links.select("key_b")).distinct()
+        sizes = self._rows("members", keys, False).distinct().groupBy("text_key").agg(F.count("*").alias("records"))
+        sizes = materialize(sizes, "p7-sizes")
+        linked = links.join(sizes.withColumnRenamed("text_key", "key_b"), "key_b").groupBy("key_a").agg(F.sum("records").alias("links"))
+        mine = own.distinct().join(sizes, "text_key").join(linked.withColumnRenamed("key_a", "text_key"), "text_key", "left")
+        return mine.select("rec_id", F.col("text_key").alias("class_id"), (F.col("records") - 1).alias("copies"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def batches_of(incoming: DataFrame) -> list[DataFrame]:
+    """The batches in their order; records without ``batch_no`` come last. One number a batch reaches the driver."""
+    if "batch_no" not in incoming.columns:
+        return [incoming]
+    numbers = sorted((r[0] for r in incoming.select("batch_no").distinct().collect()), key=lambda x: (x is None, x))
+    return [incoming.filter(F.col("batch_no").eqNullSafe(F.lit(n))) for n in numbers]
+
+
+def batch_duplicates(accepted: DataFrame, incoming: DataFrame, min_chars: int = MIN_CHARS, how: str = "pairs") -> DataFrame:
+    """Distinct ``(rec_id_a, rec_id_b)``, smaller first: matching records, at least one of them in ``incoming``.
 
-    def append(self, batch: DataFrame) -> None:
-        self._write(materialize(record_words(batch, False), "p7-append"), self._frequencies())
+    ``accepted`` is indexed once; then batch after batch (``batch_no``) is appended and probed, so a pair comes out with its later
+    batch. With ``how="classes"`` the rows are those of ``BatchIndex.classes`` instead, as of each record's own batch. ``digest`` and all other
+    columns are not read. Null ids, null texts, texts under ``min_chars`` characters and texts without words never match; a repeated row
+    (same id) does not match itself; an empty table gives no rows. Whole texts are compared, at any length.
+    """
+    spark = incoming.sparkSession
+    index = BatchIndex(spark, scratch(spark, "p7-index"), min_chars=min_chars)
+    index.start(accepted)
+    found = None
+    for batch in batches_of(incoming):
+        rows = materialize(getattr(index, how)(batch), "p7-batch")
+        found = rows if found is None else found.union(rows)
+    if found is None:
+        kinds = "rec_id_a bigint, rec_id_b bigint" if how == "pairs" else "rec_id bigint, class_id bigint, copies bigint, links bigint"
+        found = spark.createDataFrame([], kinds)
+    return found.distinct()
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_duplicates(table(spark, sf_dir, "accepted_docs"), table(spark, sf_dir, "incoming_docs"))
+
+
+def p7_record_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per incoming record that counts: its class, copies and linked records, without expanding groups into pairs."""
+    return batch_duplicates(table(spark, sf_dir, "accepted_docs"), table(spark, sf_dir, "incoming_docs"), how="classes")

@@ -48,12 +48,15 @@ def words(text: str) -> list[str]:
     return _WORD.findall(clean(text))
 
 
-def word_codes(text: str) -> np.ndarray:
+def codes_of(found: list[str]) -> np.ndarray:
     """A 32-bit code per word."""
-    found = words(text)
     return np.fromiter(map(_codes.__getitem__, found), np.uint32, len(found))
 
 
+def word_codes(text: str) -> np.ndarray:
+    return codes_of(words(text))
+
+
 def runs(codes: np.ndarray) -> np.ndarray:
     """Sorted distinct 64-bit hashes of all runs of five words; of a shorter text, of the whole."""
     n = len(codes)

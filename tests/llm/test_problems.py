@@ -1,6 +1,7 @@
 """The ten operators against brute force, public libraries and hand-made cases."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -18,7 +19,8 @@ from siltworks.llm import p7_batches as p7
 from siltworks.llm import p8_encode as p8
 from siltworks.llm import p9_leaks as p9
 from siltworks.llm import p10_truncated as p10
-from siltworks.llm.archetypes import NOUNS, Maker, examples
+from siltworks.llm.archetypes import NOUNS, SYLLABLES, Maker, examples
+from siltworks.llm.common import level_counts, to_levels
 from siltworks.llm.page_stats import page_stats
 from siltworks.llm.words import runs, word_codes
 
@@ -47,6 +49,24 @@ def test_bpe_equals_the_public_library(name):
         assert bpe.counter(path).count(t) == len(expected)
 
 
+def test_bpe_of_long_words():
+    import tiktoken
+
+    path = bpe.vocabulary(None, "byte_bpe_50k.tiktoken")
+    public = tiktoken.Encoding("own", pat_str=r"\p{L}+", mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    rng = random.Random(3)
+    for size in (bpe.SHORT - 1, bpe.SHORT, bpe.SHORT + 1, 700, 5_000):
+        for letters in ("ab", "etaoinshrdlu", "éü漢"):
+            word = "".join(rng.choice(letters) for _ in range(size))
+            assert bpe.encoder(path).encode(word).tolist() == public.encode_ordinary(word)
+    start = time.perf_counter()
+    word = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))
+    ids = bpe.encoder(path).encode(word)
+    assert time.perf_counter() - start < 60
+    tokens = {v: k for k, v in bpe.load_ranks(path).items()}
+    assert b"".join(tokens[i] for i in ids.tolist()) == word.encode() and len(ids) < 600_000
+
+
 def test_p8_rows(spark):
     df = spark.createDataFrame([(1, "Hello"), (2, ""), (3, None), (1, "Hello"), (None, "x")], "doc_id bigint, text string").withColumn("ids", F.lit("clash"))
     rows = p8.encode_texts(df).collect()
@@ -246,18 +266,32 @@ def test_p7_against_brute_force_and_batch_by_batch(spark, tmp_path, monkeypatch)
     expected = brute_pairs(old + new, 1000)
     assert expected
     assert {tuple(r) for r in p7.batch_duplicates(a, b).collect()} == expected
-    monkeypatch.setattr(p7, "HOT", 0)  # every run that occurs twice is hot: the other way of joining
-    monkeypatch.setattr(p7, "HOT_LEAST", 1)
+    monkeypatch.setattr(p7, "LONG", 0)  # every list of postings is split
+    monkeypatch.setattr(p7, "LONG_LEAST", 0.5)
     assert {tuple(r) for r in p7.batch_duplicates(a, b).collect()} == expected
     monkeypatch.undo()
-    index = p7.BatchIndex(spark, str(tmp_path / "index"), 4)
+    monkeypatch.setattr(p7, "COPIES", 1)  # every text with copies is spread
+    index = p7.BatchIndex(spark, str(tmp_path / "index"))
     index.start(a)
     found = set()
     for part in (b.filter("rec_id < 1012"), b.filter("rec_id >= 1012")):
-        found |= {tuple(r) for r in index.probe(part).collect()}
-        index.append(part)
+        found |= {tuple(r) for r in p7.BatchIndex(spark, str(tmp_path / "index")).pairs(part).collect()}
     assert found == expected
-    assert p7.batch_duplicates(a.limit(0), b.limit(0)).count() == 0
+    numbered = b.withColumn("batch_no", F.when(F.col("rec_id") < 1012, 7).otherwise(F.lit(None)))
+    assert {tuple(r) for r in p7.batch_duplicates(a, numbered).collect()} == expected
+    monkeypatch.setattr(p7, "SMALL", 0)  # as for a large batch: nothing is named, the batch travels to the buckets
+    assert {tuple(r) for r in p7.batch_duplicates(a, numbered).collect()} == expected
+    classes = {r["rec_id"]: r for r in p7.batch_duplicates(a, b, how="classes").collect()}
+    assert classes[2000]["class_id"] == classes[2001]["class_id"] and classes[2000]["copies"] >= 2
+    for rec, r in classes.items():
+        assert r["copies"] + r["links"] == len({x for p in expected if rec in p for x in p} - {rec})
+    assert p7.batch_duplicates(a.limit(0), b.limit(0)).count() == 0 and p7.batch_duplicates(a, b.limit(0)).count() == 0
+
+
+def test_p7_levels_never_undercount():
+    counts = np.array([0, 1, 2, 3, 5, 100, 65_536, 10**12, 2**62])
+    levels = to_levels(counts)
+    assert (level_counts(levels) >= counts).all() and (level_counts(levels) <= counts * 1.2).all() and (np.diff(levels.astype(int)) > 0).all()
 
 
 def test_p7_ignores_form_of_the_text():
@@ -294,8 +328,46 @@ def test_p9_against_brute_force(spark):
                 if any(tuple(v[j : j + 14]) in grams for j in range(len(v) - 13)):
                     expected.add((d, i))
     assert found == expected and len(expected) > 10
-    blocks = p9.leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string"), block=5)
-    assert {(r["doc_id"], r["item_id"]) for r in blocks.collect()} == expected
+    assert p9.leaked_items(spark.createDataFrame(docs[:0], "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string")).count() == 0
+
+
+def test_p9_altered_copies_and_one_index_for_any_items(spark, tmp_path):
+    rng = random.Random(12)
+    common, rare = "the of and to in it was that with as for on".split(), [f"{a}{b}" for a in NOUNS["en"] for b in SYLLABLES]
+
+    def prose(n):
+        return " ".join(rng.choice(common if rng.random() < 0.5 else rare) for _ in range(n))
+
+    items = [(i, f"{prose(rng.randint(40, 140))}.\nWhat about {prose(10)}?") for i in range(40)]
+    docs, expected = [], set()
+    for i, text in items:
+        for way in range(3):
+            words = []
+            for w in p9.terms(text):
+                hit = rng.random() < 0.1
+                words += [["altered"], [], [w, "extra"]][way] if hit else [w]
+            docs.append((i * 10 + way, "Some words before. " + " ".join(words) + ". And after."))
+            expected.add((i * 10 + way, i))
+        docs.append((i * 10 + 5, prose(150)))
+    documents = spark.createDataFrame(docs, "doc_id bigint, text string")
+    index = p9.PositionalIndex(spark, str(tmp_path / "index"))
+    index.build(documents)
+    found = set()
+    for part in (items[:15], items[15:]):
+        again = p9.PositionalIndex(spark, str(tmp_path / "index"))
+        found |= {(r["doc_id"], r["item_id"]) for r in p9.leaked_items(documents, spark.createDataFrame(part, "item_id bigint, item_text string"), again).collect()}
+    for way in range(3):  # words replaced, left out, put in
+        wanted = {p for p in expected if p[0] % 10 == way}
+        assert len(found & wanted) >= 0.95 * len(wanted)
+    assert len(found - expected) <= 2
+
+
+def test_p9_frequent_lists(spark, monkeypatch):
+    monkeypatch.setattr(p9, "FREQUENT", 1)  # every list of two places or more is spread
+    phrase = "one two three one two three four five six seven eight nine ten eleven twelve"
+    docs = [(k, f"x{k} y{k} {phrase if k % 3 == 0 else 'four six one'} z{k}") for k in range(30)]
+    found = p9.leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, phrase)], "item_id bigint, item_text string"))
+    assert {(r["doc_id"], r["longest"]) for r in found.collect()} == {(k, 15) for k in range(0, 30, 3)}
 
 
 # 10
