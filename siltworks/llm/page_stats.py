@@ -23,18 +23,30 @@ for _lang, _ws in FUNCTION_WORDS.items():
     for _w in _ws:
         _LANGUAGE_OF[_w] = (*_LANGUAGE_OF.get(_w, ()), _lang)
 
-_WORD = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+")
+#: Scripts written without spaces, in which every character counts as a word: Han; Thai, Lao, Burmese and Khmer with their marks.
+_HAN, _UNSPACED = "㐀-鿿", "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff"
+#: Marks that belong to the letter before them (Arabic, Hebrew, the scripts of India, combining accents).
+_JOINED = r"\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0670\u0900-\u0903\u093a-\u094f\u0981-\u0983\u09bc-\u09d7\u0b82\u0bbe-\u0bcd\u0c3e-\u0c56\u0d3e-\u0d4d"
+_WORD = re.compile(rf"[{_HAN}]|[{_UNSPACED}]|(?:[^\W_{_HAN}{_UNSPACED}]|[{_JOINED}])+")
 _LINK = re.compile(r"<a\b[^>]*>|</a>|\[/?url[^\]]*\]|https?://\S+|www\.\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:example|com|net|org|info|biz|[a-z]{2})\b(?:[/:?]\S*)?", re.I)
 _MAY_LINK = re.compile(r"\w\.[a-z]|://|</?a\b|\[/?url", re.I)
 _DIGIT = re.compile(r"\d")
 _SYMBOL = re.compile(r"[^\w\s]|_")
 _COLUMNS = re.compile(r"\s{2,}|\t|\s\|\s|;|,")
-_END = re.compile(r"(?<!\.)(?:[.!?。！？؟]{1,3}|\.{3}[!?])(?!\.)[\"”»“’'«)\]]*(?=\s|$|[^\x00-ɏ\s])")
+_END = re.compile(r"(?<!\.)(?:[.!?。！？؟۔।]{1,3}|\.{3}[!?])(?!\.)[\"”»“’'«)\]]*(?=\s|$|[^\x00-ɏ\s])")
 _MARKS = re.compile(r"[|»«›‹•·;,/#~+*>、，]|\s[-–—]\s")
 _BULLET = re.compile(r"\s*(?:[-–—*•·>+»]|\d{1,3}[.):]|[a-z][.)])\s+")
 
 #: A content word is heavy above this share of all content words.
 HEAVY = 0.08
+#: Share of function words under which a text may be of a language that has no list, and the share that stands in for it then.
+LISTED, UNLISTED_SHARE = 0.3, 0.4
+#: Least share of words in sentences by rules that know no language for a text to count as prose of a language without a list.
+FREE = 0.5
+#: How much more of its words must be in sentences by those rules than by the likeliest list, and the share of links from which they say nothing.
+GAIN, LINKED = 0.2, 0.15
+#: Letters up to which a word of such a language may be a function word.
+GLUE = 3
 
 NAMES = [
     "words", "function", "sentences", "lines", "line_words", "ended", "bullets", "digits", "symbols", "links", "marks",
@@ -75,7 +87,13 @@ def page_stats(text: str | None) -> tuple[str, list[float]] | None:
     top = heapq.nlargest(5, counts.items(), key=lambda x: x[1])
     entropy = -sum(c / m * math.log(c / m) for c in counts.values()) / math.log(m) if m > 1 else 0.0
     heavy = {w for w, c in top if c >= 6 and c > HEAVY * m} if n >= 20 else set()
-    good = _prose_words(bare, own, heavy)
+    good = _prose_words(bare, lambda found, least, count: _reads(found, own, heavy, least, count))
+    function = hits / max(1, n)
+    links = 1 - len(bare.replace(" ", "")) / max(1, len(text.replace(" ", "")))
+    if function < LISTED and good < 0.65 * n and links < LINKED:
+        free = _unlisted_words(bare, every, n, m)
+        if free >= max(FREE * n, good + GAIN * n):
+            language, function, good = "und", UNLISTED_SHARE, free
     letters = sum(map(len, words))
     digits = len(_DIGIT.findall(text))
     symbols = len(_SYMBOL.findall(text))
@@ -83,7 +101,7 @@ def page_stats(text: str | None) -> tuple[str, list[float]] | None:
     pairs = list(zip(low, low[1:], strict=False))
     return language, [
         float(n),
-        hits / max(1, n),
+        function,
         good / max(1, n),
         float(raw_lines),
         n / max(1, raw_lines),
@@ -91,7 +109,7 @@ def page_stats(text: str | None) -> tuple[str, list[float]] | None:
         sum(1 for x in lines if _BULLET.match(x)) / max(1, raw_lines),
         digits / size,
         symbols / size,
-        1 - len(bare.replace(" ", "")) / max(1, len(text.replace(" ", ""))),
+        links,
         len(_MARKS.findall(bare)) / max(1, n),
         (top[0][1] if top else 0) / m,
         sum(c for _, c in top) / m,
@@ -110,11 +128,11 @@ def _odd(word: str) -> bool:
     if len(word) < 2 or word.isdigit():
         return False
     digits = any(c.isdigit() for c in word)
-    return (digits and any(c.isalpha() for c in word)) or (not word.islower() and not word.isupper() and not word[1:].islower()) or len(word) > 30
+    return (digits and any(c.isalpha() for c in word)) or (word.lower() != word.upper() and not word.islower() and not word.isupper() and not word[1:].islower()) or len(word) > 30
 
 
-def _prose_words(text: str, own: set[str], heavy: set[str]) -> int:
-    """Words in stretches that read as prose."""
+def _prose_words(text: str, reads) -> int:
+    """Words in stretches that read as prose: ``reads(words, least number, lines)`` says whether one does."""
     good = 0
     at = 0
     stretches = []
@@ -128,16 +146,60 @@ def _prose_words(text: str, own: set[str], heavy: set[str]) -> int:
             found = _WORD.findall(" ".join(lines))
             if len(found) > 70 and len(lines) > 1:
                 found = _WORD.findall(lines[-1])
-            if _reads(found, own, heavy, 5, len(lines)):
+            if reads(found, 5, len(lines)):
                 good += len(found)
                 continue
         for line in piece.split("\n"):
             found = _WORD.findall(line)
-            if len(found) >= 20 and _reads(found, own, heavy, 20, 1) and len(_MARKS.findall(line)) < 0.2 * len(found):
+            if len(found) >= 20 and len(_MARKS.findall(line)) < 0.2 * len(found) and reads(found, 20, 1):
                 good += len(found)
     return good
 
 
+def _unlisted_words(text: str, every: Counter, n: int, m: int) -> int:
+    """Words in sentences by rules that know no language: for texts whose language has no list of function words.
+
+    Prose of any language has short words, repeats some of them, and does not use letters at random. Whether a
+    stretch reads as prose is then told by its words alone: few numbers and odd words, no heavy content word, not all in capitals.
+    """
+    letters = Counter("".join(every.elements())) if n < 4_000 else Counter("".join(every))
+    total = sum(letters.values())
+    spread = -sum(c / total * math.log2(c / total) for c in letters.values()) if total else 0.0
+    kana = sum(c for x, c in letters.items() if "\u3040" <= x <= "\u30ff")
+    han = sum(c for x, c in letters.items() if "\u3400" <= x <= "\u9fff")
+    if han > 9 * kana and han > 0.3 * total:
+        return 0  # Chinese, which has a list
+    spaced = not kana and not any("\u0e00" <= c <= "\u0eff" or "\u1000" <= c <= "\u109f" or "\u1780" <= c <= "\u17ff" for c in letters)
+    if spaced:
+        latin = sum(c for x, c in letters.items() if x < "\u0250")
+        if latin > 0.9 * total and spread > 4.55:
+            return 0
+        again = sum(c for w, c in every.items() if c > 1 and len(w) <= GLUE)
+        if n >= 80 and again < 0.03 * n:
+            return 0
+    heavy = {w for w, c in every.items() if c >= 6 and c > HEAVY * m and len(w) > GLUE} if n >= 20 and spaced else set()
+
+    def reads(found: list[str], least: int, lines: int) -> bool:
+        k = len(found)
+        if k < least or k < 3 * lines:
+            return False
+        low = [w.lower() for w in found]
+        if heavy and sum(w in heavy for w in low) > max(2, HEAVY * k):
+            return False
+        if sum(w.isdigit() or _odd(w) for w in found) > 0.2 * k:
+            return False
+        if spaced:
+            short = sum(len(w) <= GLUE and w.isalpha() for w in low)
+            capital = sum(w[:1].isupper() for w in found)
+            if capital > 0.6 * k or not 2 <= sum(map(len, found)) / k <= 14 or (k >= 12 and short < 0.04 * k):
+                return False
+            if least >= 20 and (capital > 0.2 * k or short < 0.15 * k):  # a long line without an end
+                return False
+        return len(set(low)) >= 0.5 * k / (1 + k / 150) if spaced else len(set(low)) >= min(0.25 * k, 12)
+
+    return _prose_words(text, reads)
+
+
 def _reads(found: list[str], own: set[str], heavy: set[str], least: int, lines: int) -> bool:
     n = len(found)
     if n < least or n < 3 * lines:
