@@ -66,7 +66,19 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for ``df``, once nothing reads it any more."""
+    _delete(df.sparkSession, df.written_to)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_scratch() -> None:
@@ -74,9 +86,7 @@ def drop_scratch() -> None:
     while _written:
         spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the context may be gone already
             local = path.removeprefix("file://")
             if os.path.isdir(local):
