@@ -5,8 +5,8 @@ than half of all runs of both are in both. All runs are put in one order, rarest
 started; of n runs the first ceil(n / 2) are the *long* prefix and the first n - floor(2n / 3) the *short* one. Two matching
 texts share a run that is in the long prefix of the larger and in the short prefix of the smaller.
 
-The index holds the postings of the long prefixes, bucketed by run, and the texts, bucketed by text. A batch is
-appended and its prefixes are probed: only the batch travels, to the buckets where the history lies; text that was accepted before is
+The index holds the postings of the long prefixes, packed and bucketed by run, and the records, bucketed by text. A batch is
+appended and its prefixes are probed: only the batch travels, to the buckets where the history lies; what was accepted before is
 neither tokenised again nor shuffled.
 """
 
@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import bucketed_table, count_parts, level_counts, merged_levels, to_levels
+from siltworks.llm.common import bucketed_table, count_parts, level_counts, merged_levels
 from siltworks.llm.words import runs, word_codes
-from siltworks.session import materialize, scratch, spread, table
+from siltworks.session import discard, materialize, scratch, spread, table
 
 MIN_CHARS = 200
 #: Least and greatest number of counters of the frequency table, a byte each; between them it has COUNTERS_EACH a record. The
@@ -33,16 +33,20 @@ LEAST_COUNTERS, MOST_COUNTERS, COUNTERS_EACH = 1 << 21, 1 << 26, 32
 SKETCH = 4
 #: A list of postings is split above so many times the mean counter plus a constant, into at most so many parts.
 LONG, LONG_LEAST, SPLITS = 4, 64, 64
-#: Keys up to which a lookup names them one by one, so that buckets and pages without them are not read; records of a batch in which that is tried.
+#: The counters are brought up to date whenever this share of the records has been appended since.
+RECOUNT = 0.2
+#: Keys up to which a lookup names them one by one, so that other buckets, row groups and pages are not read; records of a batch in which that is tried.
 FEW, SMALL = 2_000, 20
-#: Postings in a bucket, texts in a bucket, and records of one text above which they are spread when pairs are written.
-BUCKET_POSTINGS, BUCKET_TEXTS, COPIES = 4_000_000, 200_000, 20_000
+#: Postings in a bucket, records in a bucket, and records of one text above which they are spread when pairs are written.
+BUCKET_POSTINGS, BUCKET_RECORDS, COPIES = 4_000_000, 200_000, 20_000
+#: Bits of a run's place in the index; two that meet by chance only give candidates.
+SLOT_BITS = 48
 
-_RECORDS = "rec_id bigint, text_key bigint, n int, sketch binary, words binary, at int, part binary"
+_READ = "rec_id bigint, text_key bigint, n int, sketch binary, words binary, at int, part binary"
+_PACKED = "bucket int, m int, slots binary, at binary, pos binary, keys binary, sizes binary"
 _TABLES = {
-    "postings": ("slot BIGINT, text_key BIGINT, n INT, pos INT", "slot"),
-    "texts": ("text_key BIGINT, n INT, sketch BINARY, words BINARY", "text_key"),
-    "members": ("rec_id BIGINT, text_key BIGINT", "text_key"),
+    "postings": ("bucket INT, m INT, slots BINARY, at BINARY, pos BINARY, keys BINARY, sizes BINARY", "bucket"),
+    "records": ("text_key BIGINT, rec_id BIGINT, n INT, sketch BINARY, words BINARY", "text_key"),
 }
 
 
@@ -62,7 +66,7 @@ def _sketch(found: np.ndarray) -> bytes:
 
 
 def read_records(df: DataFrame, counters: int, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The one pass over raw texts: rows of ``_RECORDS``.
+    """The one pass over raw texts: rows of ``_READ``.
 
     Records: ``rec_id, text_key``, and once a task for each text its number of runs, sketch and word codes. Besides, every
     task adds its counts of all runs as rows of ``at, part``.
@@ -89,13 +93,13 @@ def read_records(df: DataFrame, counters: int, min_chars: int = MIN_CHARS) -> Da
 
     def _batch(rows):
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
-        names = [x.split(" ")[0] for x in _RECORDS.split(", ")]
+        names = [x.split(" ")[0] for x in _READ.split(", ")]
         columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     slim = df.select(df["rec_id"].alias("rec_id"), df["raw_content"].alias("text"))
     slim = spread(slim.filter((F.length("text") >= min_chars) & F.col("rec_id").isNotNull()))
-    return materialize(slim.mapInArrow(run, _RECORDS), "p7-records")
+    return materialize(slim.mapInArrow(run, _READ), "p7-records")
 
 
 class Order:
@@ -114,35 +118,100 @@ class Order:
 
 
 def _slot(token: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """The place of a part of a run's list; part 0 is the run itself. Slots that meet by chance only give candidates."""
-    return (token.view(np.uint64) ^ (part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
+    """The place of a part of a run's list; part 0 is the run's own."""
+    mixed = token.view(np.uint64) ^ (part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed >> np.uint64(64 - SLOT_BITS)
 
 
-def prefix_rows(texts: DataFrame, order, every_part: bool) -> DataFrame:
-    """``slot, text_key, n, pos`` of the long prefixes of ``texts`` (text_key, words).
+def _narrow(x: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the greatest needs, by planes of equal weight, which compress well."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8)
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
-    A text is stored in one part of each run's list, by its key, and asks for every part. A counter never falls and with it the number of
-    parts, so whoever asks finds what was stored when there were fewer.
+
+def _wide(data: bytes, m: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(-1, m)
+    out = np.zeros((m, 8), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.view("<u8").ravel().astype(np.int64)
+
+
+def packed_prefixes(texts: DataFrame, order, buckets: np.ndarray, every_part: bool) -> DataFrame:
+    """Rows of ``_PACKED``: the long prefixes of ``texts`` (text_key, words), per Arrow batch and bucket in the order of their slots.
+
+    A posting is a slot, a text (by its place in ``keys`` and ``sizes``) and a position. A text is stored in one part of each run's list,
+    by its key, and asks for every part. Counters never fall and with them the number of parts, so whoever asks finds what was stored
+    when there were fewer. ``buckets`` are the numbers that Spark's hash sends to bucket 0, 1, 2 and so on.
     """
 
     def run(batches):
         for b in batches:
-            cols: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int32)]]
-            for key, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            slots, ats, poss = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            keys, sizes = b.column(0).to_numpy(zero_copy_only=False), np.zeros(b.num_rows, np.int64)
+            for i, (key, data) in enumerate(zip(keys.tolist(), b.column(1).to_pylist(), strict=True)):
                 found = runs(np.frombuffer(data, np.uint32))
+                sizes[i] = len(found)
                 token, parts = order.value.prefix(found)
-                pos = np.arange(len(token), dtype=np.int32)
+                pos = np.arange(len(token))
                 if every_part:
                     pos = np.repeat(pos, parts)
                     part = np.arange(len(pos)) - np.repeat(np.cumsum(parts) - parts, parts)
                 else:
                     part = (key & 0x7FFFFFFF) % parts
-                slots = _slot(token[pos], part)
-                for col, x in zip(cols, (slots, np.full(len(pos), key, np.int64), np.full(len(pos), len(found), np.int32), pos), strict=True):
-                    col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["slot", "text_key", "n", "pos"])
-
-    return texts.select("text_key", "words").mapInArrow(run, "slot bigint, text_key bigint, n int, pos int")
+                slots.append(_slot(token[pos], part))
+                ats.append(np.full(len(pos), i))
+                poss.append(pos)
+            slot, at, pos = (np.concatenate(x) for x in (slots, ats, poss))
+            bucket = (slot % np.uint64(len(buckets))).astype(np.int64)
+            by = np.lexsort((slot, bucket))
+            slot, at, pos, bucket = slot[by].astype(np.int64), at[by], pos[by], bucket[by]
+            rows = []
+            for lo, hi in _spans(bucket):
+                own, local = np.unique(at[lo:hi], return_inverse=True)
+                step = np.diff(slot[lo:hi], prepend=0)
+                rows.append((buckets[bucket[lo]], hi - lo, *map(_narrow, (step, local, pos[lo:hi])), keys[own].tobytes(), _narrow(sizes[own])))
+            kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
+            columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split(" ")[0] for x in _PACKED.split(", ")])
+
+    return texts.select("text_key", "words").mapInArrow(run, _PACKED)
+
+
+def _spans(values: np.ndarray):
+    """Start and end of each stretch of equal values."""
+    edges = np.flatnonzero(np.diff(values)) + 1
+    edges = [0, *edges.tolist(), len(values)] if len(values) else []
+    return zip(edges[:-1], edges[1:], strict=True)
+
+
+def _unpack(m: int, slots: bytes, at: bytes, pos: bytes, keys: bytes, sizes: bytes):
+    """Slots in order, and key, size and position of each posting."""
+    keys, at = np.frombuffer(keys, np.int64), _wide(at, m)
+    return np.cumsum(_wide(slots, m)), keys[at], _wide(sizes, len(keys))[at], _wide(pos, m)
+
+
+def _meet(asked, stored) -> np.ndarray:
+    """Distinct pairs of keys, asked first, of postings that share a slot and leave room for a match."""
+    slot_a, key_a, n_a, pos_a = asked
+    slot_b, key_b, n_b, pos_b = stored
+    lo = np.searchsorted(slot_b, slot_a, "left")
+    count = np.searchsorted(slot_b, slot_a, "right") - lo
+    out = [np.empty((0, 2), np.int64)]
+    ends = np.cumsum(count)
+    # in blocks of a bounded number of pairs
+    at = 0
+    while at < len(count):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 2_000_000, "right")))
+        c = count[at:stop]
+        a = np.repeat(np.arange(at, stop), c)
+        b = lo[a] + np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c)
+        x, y = n_a[a], n_b[b]
+        short_a, short_b = pos_a[a] < x - 2 * x // 3, pos_b[b] < y - 2 * y // 3
+        ok = ((x <= y) & short_a) | ((y <= x) & short_b)
+        ok &= (2 * np.minimum(x, y) > np.maximum(x, y)) & (np.minimum(x - pos_a[a], y - pos_b[b]) >= (x + y) // 3 + 1) & (key_a[a] != key_b[b])
+        out.append(np.unique(np.column_stack([key_a[a[ok]], key_b[b[ok]]]), axis=0))
+        at = stop
+    return np.unique(np.concatenate(out), axis=0)
 
 
 def _may_match(a: list[bytes], b: list[bytes]) -> list[bool]:
@@ -171,40 +240,54 @@ def _match(a: list[bytes], b: list[bytes]) -> list[bool]:
 
 
 class BatchIndex:
-    """The index kept between batches, in a folder: postings, texts, members of texts, and the frequency table.
+    """The index kept between batches, in a folder: postings, records, and the frequency table.
 
-    ``add(batch)`` appends a batch and gives the pairs of texts of it, and of it with everything accepted before. The first batch
-    given to ``start`` fixes the order of runs and gives no pairs. A text is indexed once, however many records have it.
+    ``start`` takes the first records, which fix the order of runs. ``add`` appends a batch and gives the pairs of texts of it, and of it
+    with everything accepted before. A text is indexed once, however many batches bring it.
     """
 
     def __init__(self, spark: SparkSession, folder: str, min_chars: int = MIN_CHARS):
         self.spark, self.folder, self.min_chars = spark, folder.rstrip("/"), min_chars
+        self._order: Order | None = None
 
     # state
 
-    def _table(self, kind: str, buckets: int | None = None) -> str:
-        """The name of a bucketed table; made, or found again in its folder by another session."""
-        return bucketed_table(self.spark, f"{self.folder}/{kind}", *_TABLES[kind], buckets or self.buckets[kind])
-
     @cached_property
     def buckets(self) -> dict[str, int]:
         return self.spark.read.json(f"{self.folder}/buckets").first().asDict()
 
-    def _insert(self, kind: str, rows: DataFrame, sorted_already: bool = False) -> None:
-        name = self._table(kind)
-        rows = rows if sorted_already else rows.repartition(self.buckets[kind], _TABLES[kind][1])
-        rows.write.insertInto(name)
-
-    def _read_order(self) -> tuple[Order, int]:
-        """The order and the number of batches it has seen."""
-        rows = self.spark.read.parquet(f"{self.folder}/order")
-        versions = [r[0] for r in rows.select("version").collect()]
-        first, now = (rows.filter(F.col("version") == v).first()["levels"] for v in (0, max(versions)))
-        return Order(*(np.frombuffer(zlib.decompress(x), np.uint8) for x in (first, now))), max(versions)
-
-    def _write_order(self, levels: np.ndarray, version: int) -> None:
-        row = pa.table({"version": pa.array([version], pa.int32()), "levels": pa.array([zlib.compress(levels.tobytes(), 1)], pa.binary())})
-        self.spark.createDataFrame(row).coalesce(1).write.mode("append").parquet(f"{self.folder}/order")
+    @cached_property
+    def bucket_ids(self) -> np.ndarray:
+        """For every bucket of the postings the least number that Spark's hash sends there."""
+        n = self.buckets["postings"]
+        at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
+        least = self.spark.range(n * (20 + n.bit_length())).groupBy(at.alias("at")).agg(F.min("id").alias("id")).orderBy("at").collect()
+        assert len(least) == n
+        return np.array([r["id"] for r in least], np.int64)
+
+    def _table(self, kind: str) -> str:
+        return bucketed_table(self.spark, f"{self.folder}/{kind}", *_TABLES[kind], self.buckets[kind])
+
+    def _insert(self, kind: str, rows: DataFrame) -> None:
+        rows.repartition(self.buckets[kind], _TABLES[kind][1]).write.insertInto(self._table(kind))
+
+    def _count_runs(self, records: DataFrame, counters: int | None = None) -> Order:
+        """The order, with the counters of appended batches once they make up a share of the records."""
+        path = f"{self.folder}/counts"
+        records.filter("part is not null").select("at", "part", F.lit(counters).cast("int").alias("counters"), F.lit(0).cast("bigint").alias("records")).unionByName(
+            records.select(F.count("rec_id").alias("records")).select(F.lit(None).cast("int").alias("at"), F.lit(None).cast("binary").alias("part"), F.lit(counters).cast("int").alias("counters"), "records")
+        ).write.mode("append").parquet(path)
+        if self._order is None:
+            parts = self.spark.read.parquet(path)
+            first = parts.filter("counters is not null and part is not null")
+            size = parts.agg(F.max("counters")).first()[0]
+            levels = merged_levels(first.select("at", "part"), size)
+            self._order, self._counted = Order(levels, levels), parts.filter("counters is not null").agg(F.sum("records")).first()[0]
+        seen = self.spark.read.parquet(path).agg(F.sum("records")).first()[0]
+        if seen > (1 + RECOUNT) * self._counted:
+            now = merged_levels(self.spark.read.parquet(path).filter("part is not null").select("at", "part"), len(self._order.first))
+            self._order, self._counted = Order(self._order.first, np.maximum(now, self._order.now)), seen
+        return self._order
 
     def _rows(self, kind: str, keys: DataFrame, small: bool) -> DataFrame:
         """The rows of a table for ``keys`` (of one column, its bucketing one).
@@ -214,10 +297,11 @@ class BatchIndex:
         """
         by = _TABLES[kind][1]
         stored = self.spark.table(self._table(kind))
-        few = [r[0] for r in keys.limit(FEW + 1).collect()] if small else None
+        few = [r[0] for r in keys.distinct().limit(FEW + 1).collect()] if small else None
         if few is not None and len(few) <= FEW:
             return stored.filter(F.col(by).isin(few)) if few else stored.limit(0)
-        return stored.join(keys.toDF(by).distinct().hint("shuffle_hash"), by, "left_semi")
+        # as many partitions as buckets, as Spark would else shuffle the table to the keys
+        return stored.join(keys.toDF(by).repartition(self.buckets[kind], by).distinct().hint("shuffle_hash"), by, "left_semi")
 
     # steps
 
@@ -226,86 +310,86 @@ class BatchIndex:
         counters = 1 << (COUNTERS_EACH * accepted.count()).bit_length()
         counters = min(max(counters, LEAST_COUNTERS), MOST_COUNTERS)
         records = read_records(accepted, counters, self.min_chars)
-        levels = merged_levels(records.filter("part is not null").select("at", "part"), counters)
-        runs_, texts_ = records.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+        runs_, records_ = records.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("rec_id")).first()
         cores = self.spark.sparkContext.defaultParallelism
-        postings, texts = max(cores, runs_ // 2 // BUCKET_POSTINGS), max(cores, texts_ // BUCKET_TEXTS)
-        sizes = {"postings": postings, "texts": texts, "members": texts}
-        self.spark.createDataFrame([tuple(sizes.values())], ", ".join(f"{k} int" for k in sizes)).coalesce(1).write.mode("overwrite").json(f"{self.folder}/buckets")
-        for kind, n in sizes.items():
-            self._table(kind, n)
-        order = Order(levels, levels)
-        self._write_order(levels, 0)
-        once = records.filter("words is not null").select("text_key", "n", "sketch", "words")
-        self._insert("texts", once.repartition(texts, "text_key").dropDuplicates(["text_key"]), True)
-        shared = self.spark.sparkContext.broadcast(order)
-        self._insert("postings", prefix_rows(self.spark.table(self._table("texts")), shared, False))
-        self._insert("members", records.filter("rec_id is not null").select("rec_id", "text_key"))
-
-    def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Append a batch; ``links`` (key_a, key_b) of its texts with other texts, and its ``members`` (rec_id, text_key)."""
-        before, version = self._read_order()
-        records = read_records(batch, len(before.first), self.min_chars)
+        sizes = (max(cores, runs_ // 2 // BUCKET_POSTINGS), max(cores, records_ // BUCKET_RECORDS))
+        self.spark.createDataFrame([sizes], "postings int, records int").coalesce(1).write.mode("overwrite").json(f"{self.folder}/buckets")
+        shared = self.spark.sparkContext.broadcast(self._count_runs(records, counters))
+        texts = records.filter("words is not null")
+        self._insert("postings", packed_prefixes(texts, shared, self.bucket_ids, False))
+        self._insert("records", records.filter("rec_id is not null").select("text_key", "rec_id", "n", "sketch", "words"))
+        discard(records)
+
+    def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+        """Append a batch; ``links`` (key_a, key_b) of its texts with other texts, its members (rec_id, text_key), and whether it is small."""
+        if self._order is None:
+            self._read_order()
+        records = read_records(batch, len(self._order.first), self.min_chars)
+        shared = self.spark.sparkContext.broadcast(self._count_runs(records))
         own = records.filter("rec_id is not null").select("rec_id", "text_key")
-        fresh = merged_levels(records.filter("part is not null").select("at", "part"), len(before.first))
-        now, seen = before.now.copy(), fresh > 0
-        now[seen] = to_levels(level_counts(now[seen]) + level_counts(fresh[seen]))
-        shared = self.spark.sparkContext.broadcast(Order(before.first, now))
-
+        small = own.limit(SMALL + 1).count() <= SMALL
         once = records.filter("words is not null").select("text_key", "n", "sketch", "words").dropDuplicates(["text_key"])
-        few = records.filter("words is not null").limit(SMALL + 1).count() <= SMALL
-        known = self._rows("texts", once.select("text_key"), few).select("text_key", F.lit(True).alias("known"))
+        known = self._rows("records", once.select("text_key"), small).select("text_key").distinct().withColumn("known", F.lit(True))
         texts = materialize(once.join(known, "text_key", "left"), "p7-texts")
-        new = texts.filter("known is null").drop("known")
-        with ThreadPoolExecutor(3) as jobs:  # three tables, none of which waits for another
-            rows = {"postings": prefix_rows(new, shared, False), "texts": new, "members": own}
+        new = texts.filter("known is null").select("text_key", F.lit(None).cast("bigint").alias("rec_id"), "n", "sketch", "words")
+        none = [F.lit(None).cast(k).alias(c) for c, k in (("n", "int"), ("sketch", "binary"), ("words", "binary"))]
+        rows = {"postings": packed_prefixes(new, shared, self.bucket_ids, False), "records": own.select("text_key", "rec_id", *none).union(new)}
+        with ThreadPoolExecutor(2) as jobs:  # neither waits for the other
             list(jobs.map(lambda kind: self._insert(kind, rows[kind]), rows))
-        self._write_order(now, version + 1)
-        return self._links(texts, shared, few), own
+        return self._links(texts, shared, small), own, small
 
-    def _links(self, texts: DataFrame, order, few: bool) -> DataFrame:
-        asked = prefix_rows(texts, order, True)
-        if few:
+    def _read_order(self) -> None:
+        """The order as another session left it."""
+        empty = self.spark.createDataFrame([], _READ)
+        self._count_runs(empty)
+
+    def _links(self, texts: DataFrame, order, small: bool) -> DataFrame:
+        asked = packed_prefixes(texts, order, self.bucket_ids, True)
+        stored = self.spark.table(self._table("postings"))
+        if small:
             asked = materialize(asked, "p7-asked")
-            stored = self._rows("postings", asked.select("slot").distinct(), True)
-        else:
-            stored = self.spark.table(self._table("postings"))
-        stored = stored.select("slot", F.col("text_key").alias("key_b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
-        asked = asked.select("slot", F.col("text_key").alias("key_a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
-
-        def short(side: str):
-            n = F.col(f"n_{side}")
-            return F.col(f"pos_{side}") < n - F.floor(2 * n / 3)
-
-        n_a, n_b = F.col("n_a"), F.col("n_b")
-        shortly = ((n_a <= n_b) & short("a")) | ((n_b <= n_a) & short("b"))
-        most = F.least(n_a - F.col("pos_a"), n_b - F.col("pos_b"))
-        fits = (2 * F.least(n_a, n_b) > F.greatest(n_a, n_b)) & (most >= F.floor((n_a + n_b) / 3) + 1)
-        met = stored.join(asked.hint("shuffle_hash"), "slot").filter(shortly & fits & (F.col("key_a") != F.col("key_b")))
-        pairs = materialize(met.select("key_a", "key_b").distinct(), "p7-pairs")
-        likely = materialize(self._both(pairs, texts, "sketch", _may_match, few), "p7-likely")
-        return self._both(likely, texts, "words", _match, few)
-
-    def _both(self, pairs: DataFrame, texts: DataFrame, column: str, keep, few: bool) -> DataFrame:
+            stored = self._rows("postings", asked.select("bucket"), True)
+        names = [x.split(" ")[0] for x in _PACKED.split(", ")][1:]
+        asked = asked.select("bucket", *[F.col(c).alias(f"{c}_a") for c in names])
+
+        def run(batches):
+            last, have = None, None
+            for x in batches:
+                cols = [x.column(c).to_pylist() for n in ("_a", "") for c in [f"{k}{n}" for k in names]]
+                pairs = [np.empty((0, 2), np.int64)]
+                for row in zip(*cols, strict=True):
+                    if row[: len(names)] != last:
+                        last = row[: len(names)]
+                        have = _unpack(*last)
+                    pairs.append(_meet(have, _unpack(*row[len(names) :])))
+                both = np.concatenate(pairs)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["key_a", "key_b"])
+
+        met = stored.join(asked.hint("shuffle_hash"), "bucket").drop("bucket").mapInArrow(run, "key_a bigint, key_b bigint")
+        pairs = materialize(met.distinct(), "p7-pairs")
+        likely = materialize(self._both(pairs, texts, "sketch", _may_match, small), "p7-likely")
+        return self._both(likely, texts, "words", _match, small).distinct()
+
+    def _both(self, pairs: DataFrame, texts: DataFrame, column: str, keep, small: bool) -> DataFrame:
         """The pairs for whose two values of ``column`` ``keep`` holds; the batch's come from ``texts``, the others from the index."""
         a = texts.select(F.col("text_key").alias("key_a"), F.col(column).alias("of_a"))
-        b = self._rows("texts", pairs.select("key_b").distinct(), few).select(F.col("text_key").alias("key_b"), F.col(column).alias("of_b"))
+        b = self._rows("records", pairs.select("key_b"), small).filter(F.col(column).isNotNull()).select(F.col("text_key").alias("key_b"), F.col(column).alias("of_b"))
 
         def check(batches):
             for x in batches:
                 mask = pa.array(keep(x.column("of_a").to_pylist(), x.column("of_b").to_pylist()), pa.bool_())
                 yield pa.RecordBatch.from_arrays([x.column(c).filter(mask) for c in ("key_a", "key_b")], ["key_a", "key_b"])
 
-        joined = pairs.join(a, "key_a").join(b, "key_b").select("key_a", "key_b", "of_a", "of_b")
+        joined = b.join(pairs.join(a, "key_a").repartition(self.buckets["records"], "key_b").hint("shuffle_hash"), "key_b").select("key_a", "key_b", "of_a", "of_b")
         return joined.mapInArrow(check, "key_a bigint, key_b bigint")
 
     def pairs(self, batch: DataFrame) -> DataFrame:
         """``add``, and the records behind it: ``rec_id_a, rec_id_b`` (smaller first), one of them in the batch."""
-        links, own = self.add(batch)
-        few = own.limit(SMALL + 1).count() <= SMALL
+        links, own, small = self.add(batch)
         same = own.select(F.col("text_key").alias("key_a"), F.col("text_key").alias("key_b")).distinct()
         links = materialize(links.union(same), "p7-links")
-        members = materialize(self._rows("members", links.select("key_b").distinct(), few).distinct(), "p7-members")
+        members = self._rows("records", links.select("key_b"), small).filter("rec_id is not null").select("text_key", "rec_id")
+        members = materialize(members.distinct(), "p7-members")
         # the records of a text with very many copies are spread
         large = members.groupBy("text_key").agg(F.ceil(F.count("*") / COPIES).cast("int").alias("ways")).filter("ways > 1")
         large = large.withColumnRenamed("text_key", "key_b")
@@ -323,10 +407,10 @@ class BatchIndex:
         ``class_id`` is the same for records of one text, ``copies`` how many other records have that text, ``links`` how many records
         have another text that matches.
         """
-        links, own = self.add(batch)
+        links, own, small = self.add(batch)
         links = materialize(links, "p7-links")
         keys = own.select("text_key").union(links.select("key_b")).distinct()
-        sizes = self._rows("members", keys, False).distinct().groupBy("text_key").agg(F.count("*").alias("records"))
+        sizes = self._rows("records", keys, small).filter("rec_id is not null").select("text_key", "rec_id").distinct().groupBy("text_key").agg(F.count("*").alias("records"))
         sizes = materialize(sizes, "p7-sizes")
         linked = links.join(sizes.withColumnRenamed("text_key", "key_b"), "key_b").groupBy("key_a").agg(F.sum("records").alias("links"))
         mine = own.distinct().join(sizes, "text_key").join(linked.withColumnRenamed("key_a", "text_key"), "text_key", "left")

@@ -199,7 +199,11 @@ def agreeing_places(chosen: DataFrame, index: PositionalIndex) -> DataFrame:
 
     hits = index.lists(chosen, ["docs", "places"]).select("docs", "places", "item_id", "place", "need")
     hits = hits.mapInArrow(unpack, "doc_id bigint, item_id bigint, place int, need int, start bigint")
-    aligned = hits.groupBy("doc_id", "item_id", "start").agg(F.count("*").alias("n"), (F.min("place") < F.max("place")).alias("two"), F.max("need").alias("need"))
+    # one exchange for both groupings
+    hits = hits.repartition("doc_id", "item_id")
+    span = F.max("place") - F.min("place")
+    two = (span > 0) & ((span < PHRASE) | (F.count("*") > 2))
+    aligned = hits.groupBy("doc_id", "item_id", "start").agg(F.count("*").alias("n"), two.alias("two"), F.max("need").alias("need"))
     # two grids of bands, half a band apart
     bands = F.array(F.floor(F.col("start") / BAND) * 2, F.floor((F.col("start") + BAND // 2) / BAND) * 2 + 1)
     met = aligned.withColumn("band", F.explode(bands)).groupBy("doc_id", "item_id", "band")
