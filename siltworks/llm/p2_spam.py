@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from siltworks.llm.archetypes import SPAM
+from siltworks.llm.common import summed
 from siltworks.llm.pages import DIMS, SENTENCES, example_vectors, page_table, stats_matrix, vectors
 from siltworks.session import table
 
@@ -55,8 +56,8 @@ def robust_scatter(stats: DataFrame) -> Scatter:
     """Reweighted location and scatter per language.
 
     Prose must be the bulk of a language's pages, as for every robust scatter. It starts at the inspected prose and, round by round, takes the pages within the bound of the last fit, so that
-    lists, noise and spam do not count. Each round adds up moments in every task and sums them per
-    language; a row per task and language reaches the driver.
+    lists, noise and spam do not count. Each round adds up moments in every task and merges them per
+    language on the executors; one row a language reaches the driver.
     """
     _, labels, langs, x = example_vectors()
     prose = labels == "prose"
@@ -68,39 +69,29 @@ def robust_scatter(stats: DataFrame) -> Scatter:
         bound = chi2_bound(d) * (4 if k == 0 else 1.5)
         shared = stats.sparkSession.sparkContext.broadcast(fit)
 
-        def run(batches, shared=shared, bound=bound):
-            sums: dict[str, list] = {}
-            for b in batches:
-                v, names = vectors(stats_matrix(b.column(1))), np.array(b.column(0).to_pylist(), dtype=object)
-                near = (shared.value.whiten(names, v) ** 2).sum(axis=1) <= bound
-                for lang in set(names[near].tolist()):
-                    y = v[near & (names == lang)]
-                    total = sums.setdefault(lang, [0.0, np.zeros(d), np.zeros((d, d))])
-                    total[0] += len(y)
-                    total[1] += y.sum(axis=0)
-                    total[2] += y.T @ y
-            rows = [(lang, np.concatenate([[n], s, ss.ravel()]).tolist()) for lang, (n, s, ss) in sums.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], ["language", "moments"])
-
-        moments: dict[str, np.ndarray] = {}
-        for row in stats.select("language", "stats").mapInArrow(run, "language string, moments array<double>").collect():
-            moments[row["language"]] = moments.get(row["language"], 0) + np.array(row["moments"])
+        def moments_of(b, shared=shared, bound=bound):
+            v, names = vectors(stats_matrix(b.column(1))), np.array(b.column(0).to_pylist(), dtype=object)
+            near = (shared.value.whiten(names, v) ** 2).sum(axis=1) <= bound
+            parts = {lang: v[near & (names == lang)] for lang in set(names[near].tolist())}
+            return {lang: np.concatenate([[len(y)], y.sum(axis=0), (y.T @ y).ravel()]) for lang, y in parts.items()}
+
+        moments = summed(stats, ["language", "stats"], moments_of)
         if not moments:
             break
         fit = Scatter({lang: (m[0], m[1 : d + 1], m[d + 1 :].reshape(d, d)) for lang, m in moments.items() if lang != "und"})
     return fit
 
 
-def spam_pages(pages: DataFrame) -> DataFrame:
+def spam_pages(pages: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """``page_id, language, distance, spam_share, spam`` of every page with text.
 
     ``distance``: squared robust Mahalanobis distance from the prose of the page's likeliest language (of all where it
     has few pages or none is likely). ``spam_share``: share of spam among the inspected examples whose deviations point most nearly in
-    the page's direction. A page is spam if it is an outlier, that share is over one half, and (the exact check) under
-    ``OWN_TEXT`` of its words stand in sentences. Null and blank texts give no rows; copies and repeated rows count
+    the page's direction; both by ``raw_content`` alone. A page is spam if it is an outlier, that share is over one half, and (the exact check) under
+    ``OWN_TEXT`` of its words stand in sentences. ``stats`` is the ``page_table`` if there is one already. Null and blank texts give no rows; copies and repeated rows count
     each; an empty table gives no rows; other columns are not read; whole texts count.
     """
-    stats = page_table(pages)
+    stats = page_table(pages) if stats is None else stats
     fit = robust_scatter(stats)
     _, labels, langs, x = example_vectors()
     toward = fit.whiten(langs, x)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.archetypes import examples
 from siltworks.llm.page_stats import NAMES, page_stats
-from siltworks.session import materialize
+from siltworks.session import materialize, spread
 
 #: Dimensions of a vector: transformed statistics of ``NAMES``.
 LOGS, ROOTS = {"line_words", "marks", "word_length"}, {"digits", "symbols", "links", "top_word", "top_five"}
@@ -50,7 +50,7 @@ def page_table(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), pa.array([x[0] for x in found], pa.string()), stats], ["page_id", "language", "stats"])
 
     slim = pages.select(pages["page_id"].alias("page_id"), pages["raw_content"].alias("text")).filter(F.col("text").isNotNull())
-    return materialize(slim.mapInArrow(run, "page_id bigint, language string, stats array<double>"), "pages")
+    return materialize(spread(slim).mapInArrow(run, "page_id bigint, language string, stats array<double>"), "pages")
 
 
 def stats_matrix(column: pa.Array) -> np.ndarray:

@@ -24,6 +24,8 @@ from siltworks.llm.common import level_counts, to_levels
 from siltworks.llm.page_stats import page_stats
 from siltworks.llm.words import runs, word_codes
 
+from .prose import PROSE
+
 TEXTS = ["", " ", "Hello  world\n\n  x", "日本語のテキスト 漢字", "don't we'll I'M", "\x1c\x1d a b", "<|endoftext|>", "naïve 🌿🚲 ok", "a" * 300, "x\ty\r\n", "été " * 50, "١٢٣ ⅷ"]
 
 SITE = "page_id bigint, url string, source_domain string, title string, raw_content string"
@@ -137,6 +139,20 @@ def test_p2_and_p5_on_unseen_examples(spark):
     assert not {i for i in spam | poor if i >= len(kinds)}
 
 
+def test_p2_and_p5_keep_prose_of_languages_without_a_list(spark):
+    bulk = [x[2] for seed in range(4) for x in examples(6, seed=seed + 500) if x[1] == "prose"]
+    once, twice = list(PROSE.values()), [f"{t}\n{t}" for t in PROSE.values()]
+    controls = ["I had not expected the shop to be open so late, but the lamp in the window was still on. The owner gave me a chair and asked about my journey. We drank tea until the rain stopped, and then he showed me the way to the station."]
+    held = [*once, *twice, *controls, *(f"{t}\n{t}" for t in controls)]
+    spam = [", ".join(f"{w} tanio" for w in "buty sukienki torebki zegarki płaszcze kurtki".split() * 12), " ".join(["comprare scarpe online"] * 40)]
+    df = pages(spark, [*held, *spam, *bulk])
+    flagged = {r["page_id"] for r in p2.spam_pages(df).filter("spam").collect()}
+    poor = {r["page_id"] for r in p5.page_quality(df).filter("not natural").collect()}
+    n = len(held)
+    assert len(PROSE) >= 20 and len([i for i in flagged if i < n]) <= 0.05 * n and len([i for i in poor if i < n]) <= 0.05 * n
+    assert {n, n + 1} <= poor and {n, n + 1} <= flagged
+
+
 def test_p2_and_p5_on_empty_tables(spark):
     df = pages(spark, ["x"]).limit(0)
     assert p2.spam_pages(df).count() == 0 and p5.page_quality(df).count() == 0
