@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import cached_property
 
 import numpy as np
@@ -239,6 +240,18 @@ def _match(a: list[bytes], b: list[bytes]) -> list[bool]:
     return keep
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Packed rows are large, so few of them go to Python at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4m")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class BatchIndex:
     """The index kept between batches, in a folder: postings, records, and the frequency table.
 
@@ -355,18 +368,16 @@ class BatchIndex:
         def run(batches):
             last, have = None, None
             for x in batches:
-                cols = [x.column(c).to_pylist() for n in ("_a", "") for c in [f"{k}{n}" for k in names]]
-                pairs = [np.empty((0, 2), np.int64)]
-                for row in zip(*cols, strict=True):
-                    if row[: len(names)] != last:
-                        last = row[: len(names)]
-                        have = _unpack(*last)
-                    pairs.append(_meet(have, _unpack(*row[len(names) :])))
-                both = np.concatenate(pairs)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["key_a", "key_b"])
+                for i in range(x.num_rows):  # one row at a time, as each is large
+                    a, b = ([x.column(f"{k}{end}")[i].as_py() for k in names] for end in ("_a", ""))
+                    if a != last:
+                        last, have = a, _unpack(*a)
+                    both = _meet(have, _unpack(*b))
+                    yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["key_a", "key_b"])
 
         met = stored.join(asked.hint("shuffle_hash"), "bucket").drop("bucket").mapInArrow(run, "key_a bigint, key_b bigint")
-        pairs = materialize(met.distinct(), "p7-pairs")
+        with _small_batches(self.spark):
+            pairs = materialize(met.distinct(), "p7-pairs")
         likely = materialize(self._both(pairs, texts, "sketch", _may_match, small), "p7-likely")
         return self._both(likely, texts, "words", _match, small).distinct()
 
