@@ -24,8 +24,10 @@ from siltworks.session import materialize, table
 FALSE_DISCOVERY = 0.01
 #: Lengths on either side that a hazard is compared with, and the widths of hazard that are tested (cuts at words scatter).
 NEIGHBOURS, WIDTHS = 60, (1, 12)
-#: Texts the model of endings is trained on; its features are hashed to so many weights.
-TRAIN_TEXTS, WEIGHTS = 6_000, 1 << 18
+#: Texts the model of endings is trained on, and lines of each in which cuts are made; its features are hashed to so many weights.
+TRAIN_TEXTS, TRAIN_LINES, WEIGHTS = 6_000, 6, 1 << 18
+#: Lengths of a source that go through one task; the windows of its neighbours reach in from either side.
+BLOCK = 1_024
 #: Probability of a break above which an ending counts as cut: anywhere, and at a significant length or before a mark.
 CUT_ANYWHERE, CUT_AT_LENGTH = 0.35, 0.25
 
@@ -88,7 +90,7 @@ MIN_ROWS, DOUBTFUL = 5, 0.15
 def train(texts: list[tuple[str, bool, str | None]], seed: int = 7) -> np.ndarray:
     """Weights from ``(text, at a significant length, title)``.
 
-    Breaks: our own cuts in prose lines, half of them in the first sentence. Complete: last lines of other texts, and titles.
+    Breaks: our own cuts in the first ``TRAIN_LINES`` prose lines of a text, half of them in the first sentence. Complete: last lines of other texts, and titles.
     """
     rng = np.random.default_rng(seed)
     rows: dict[tuple[str, str], tuple[int, float]] = {}
@@ -101,7 +103,7 @@ def train(texts: list[tuple[str, bool, str | None]], seed: int = 7) -> np.ndarra
             rows.setdefault((title.strip(), "."), (0, 1.0))
         lines = [x.strip() for x in text.split("\n")]
         prose = [(i, x) for i, x in enumerate(lines[:-1] if not complete else lines) if _COMPLETE.search(x) and len(x) > 20]
-        for i, line in prose[:6]:
+        for i, line in prose[:TRAIN_LINES]:
             first = _INNER.search(line)
             stop = first.start() if first and first.start() > 4 and rng.random() < 0.5 else len(line) - 1
             at = int(rng.integers(2, stop))
@@ -144,7 +146,8 @@ def probability(weights: np.ndarray, last: str, before: str) -> float:
 def significant_lengths(docs: DataFrame, fdr: float = FALSE_DISCOVERY, neighbours: int = NEIGHBOURS) -> DataFrame:
     """``source, unit, length``: lengths (``chars`` or ``bytes``) at which too many texts of a source end.
 
-    Copies of a text count once. Windows run over the distinct lengths of a source, never over its rows.
+    Copies of a text count once. Windows run over the distinct lengths of a source, never over its rows, and in blocks of
+    ``BLOCK`` lengths with their neighbours on both sides, so that a source with many lengths is spread.
     """
     slim = docs.select(docs["source"].alias("source"), docs["text"].alias("text")).filter("text <> ''")
     sized = slim.select(
@@ -159,9 +162,18 @@ def significant_lengths(docs: DataFrame, fdr: float = FALSE_DISCOVERY, neighbour
     ).select("source", "copy", "x.unit", "x.length")
     counts = sized.distinct().groupBy("source", "unit", "length").agg(F.count("*").alias("n"))
     counts = materialize(counts, "p10-lengths")
-    order = W.partitionBy("source", "unit").orderBy("length")
-    risk = F.sum("n").over(order.rangeBetween(0, W.unboundedFollowing))
-    base = counts.withColumn("risk", risk)
+    counts = counts.withColumn("block", F.floor(F.col("length") / BLOCK))
+    # texts at risk: those of later blocks, and those of the own block that are as long
+    blocks = counts.groupBy("source", "unit", "block").agg(F.sum("n").alias("total"))
+    later = F.sum("total").over(W.partitionBy("source", "unit").orderBy("block").rowsBetween(1, W.unboundedFollowing))
+    blocks = blocks.select(F.col("source").alias("s"), F.col("unit").alias("u"), F.col("block").alias("b"), F.coalesce(later, F.lit(0)).alias("later"))
+    same = counts["source"].eqNullSafe(blocks["s"]) & (counts["unit"] == blocks["u"]) & (counts["block"] == blocks["b"])
+    inside = F.sum("n").over(W.partitionBy("source", "unit", "block").orderBy("length").rangeBetween(0, W.unboundedFollowing))
+    base = counts.join(blocks, same).withColumn("risk", inside + F.col("later")).drop("s", "u", "b", "later")
+    reach = neighbours + max(WIDTHS)
+    first, last = F.floor((F.col("length") - reach) / BLOCK), F.floor((F.col("length") + reach) / BLOCK)
+    base = base.withColumnRenamed("block", "own").withColumn("block", F.explode(F.sequence(first, last)))
+    order = W.partitionBy("source", "unit", "block").orderBy("length")
     tests = None
     for width in WIDTHS:
         own = order.rangeBetween(1 - width, 0)
@@ -171,7 +183,8 @@ def significant_lengths(docs: DataFrame, fdr: float = FALSE_DISCOVERY, neighbour
         near = F.sum("n").over(around) - k + 0.5
         expected = near / (2 * neighbours) * width * F.col("risk") / F.max("risk").over(around)
         g = F.when(k > expected, 2 * (k * F.log(k / expected) - (k - expected))).otherwise(0.0)
-        one = base.select("source", "unit", "length", F.lit(width).alias("width"), k.alias("k"), g.alias("g"))
+        one = base.select("source", "unit", "length", "block", "own", F.lit(width).alias("width"), k.alias("k"), g.alias("g"))
+        one = one.filter(F.col("block") == F.col("own")).drop("block", "own")
         tests = one if tests is None else tests.union(one)
     tests = materialize(with_bin(tests.filter("k > 1")), "p10-tests")
     limit = discovery_limit(tests, fdr)

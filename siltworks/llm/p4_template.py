@@ -1,17 +1,20 @@
 """Problem 4: main content of pages by a style tree per site.
 
-A page's text has lost its markup, so the tree is built from its lines: below the site stand presentation nodes (what a line looks like: its label, its
-tail, its mask, the parts between separators) and below those content nodes (what it says). The
-pages of one host are merged into one tree, copies of a page once. A content node on many pages has low importance.
-The importance of a presentation node is the entropy of the contents below it, as a share of the most that so many contents
-can have: bylines repeat their names, headlines of the same form do not. A label or tail is text besides, and has low importance whatever
-varies around it where that text is spread over many pages. Lines under unimportant nodes are the template;
-so are teasers that follow a heading after which the merged tree mostly holds teasers.
+A page's text has lost its markup, so the tree is built from its lines. Below the site stand blocks (a heading and the lines it leads to), in
+them presentation nodes (what a line looks like: its label, its tail, its mask, the parts between separators) and below those
+content nodes (what it says). The pages of one host are merged into one tree, copies of a page once.
+
+Importance is entropy, inherited down a branch. A content node that stands evenly on many pages says nothing about the page: its importance is what it
+tells, the logarithm of the number of pages less the entropy of its lines over pages. That of a presentation node is the entropy of the contents
+below it, as a share of the most that so many contents can have: bylines repeat their names, headlines of the same form do not. A label or
+tail is text besides, and has low importance whatever varies around it where that text is spread over many pages. Lines on a
+branch with an unimportant node are the template; so are teasers in a block whose heading mostly leads to teasers in the merged tree.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
@@ -21,9 +24,10 @@ from pyspark.sql import functions as F
 
 from siltworks.functions.urls import bare_host
 from siltworks.llm.p6_repeated import drop_lines
-from siltworks.session import materialize, table
+from siltworks.session import materialize, spread, table
 
-#: A node is unimportant from so many distinct pages, and from this share of its host's pages.
+#: A node counts from so many distinct pages, and is unimportant where it tells no more about the page than being on this share of its
+#: host's pages does (the logarithm of its inverse).
 LEAST_PAGES, SHARE = 3, 0.03
 #: A presentation node is important above this normalised entropy of its contents.
 VARIED = 0.97
@@ -34,8 +38,11 @@ CONTENT, MASK, LABEL, TAIL, WORD = range(5)
 _KINDS = {"c": CONTENT, "p": CONTENT, "m": MASK, "l": LABEL, "t": TAIL, "w": WORD}
 #: Share of teasers among the lines that follow a heading of teasers.
 TEASERS = 0.55
-#: Copies of a host's nodes to which its pages are spread, against hot hosts.
-SALT = 16
+#: Pages of a host that go through one task with a copy of its tree; a larger host has more copies.
+PAGES = 20_000
+
+#: Hosts of several copies up to which their list is broadcast (their names, some 100 bytes each); beyond, it is joined by a shuffle.
+BROADCAST_HOSTS = 100_000
 
 #: Characters above which a line that ends a sentence is a paragraph.
 PROSE = 130
@@ -118,23 +125,26 @@ def read_lines(text: str) -> list[Line | None]:
     return out
 
 
-def page_nodes(text: str, title: str | None) -> tuple[dict[str, tuple[int, int]], set[tuple[str, str]]]:
-    """Nodes of a page: for each, how many of its lines are followed by a line, and how many of those by a teaser; and its presentation
-    nodes, each with every content node below it."""
+def page_nodes(text: str, title: str | None) -> tuple[dict[str, tuple[int, int]], set[tuple[str, str]], Counter]:
+    """Nodes of a page: for each, how many of its lines are followed by a line, and how many of those by a teaser; its presentation
+    nodes, each with every content node below it; and how often each content node stands on it."""
     lines = [x for x in read_lines(text) if x]
     own = key(title) if title else ""
     out: dict[str, tuple[int, int]] = {}
+    times: Counter = Counter()
     below = {(node, "c:" + line.key) for line in lines for node in line.nodes}
     for i, line in enumerate(lines):
         after = lines[i + 1] if i + 1 < len(lines) else None
         plain = after is not None and not (own and own in after.key)
         follows, teases = int(plain), int(plain and after.teaser)
+        times["c:" + line.key] += 1
         for node in {"c:" + line.key, *line.nodes}:
             a, b = out.get(node, (0, 0))
             out[node] = (a + follows, b + teases)
         for part in set(line.parts):
             out.setdefault("p:" + part, (0, 0))
-    return out, below
+            times["p:" + part] += 1
+    return out, below, times
 
 
 def template_lines(text: str, title: str | None, known: dict[str, bool]) -> list[int]:
@@ -170,68 +180,75 @@ def _hash(host: str, node: str) -> int:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """``host, nodes array<string>, heads array<boolean>``: the unimportant nodes of every host, and which head a list of teasers.
+    """``host, pages, known array<struct<node, head>>``: of every host the different pages, the unimportant nodes, and which head a list of teasers.
 
     Nodes are counted by distinct contents of pages, so copies count once; a page sends its content nodes once, and a presentation
-    node once for every content below it. From those partial counts comes the entropy that decides on presentation nodes. A host's
+    node once for every content below it. From those partial counts come both entropies. A host's
     list is bounded: a node must be on ``SHARE`` of its pages, and a page has a bounded number.
     """
 
     def run(batches):
         for b in batches:
-            cols: list[list] = [[] for _ in range(8)]
+            cols: list[list] = [[] for _ in range(9)]
             for host, title, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 copy = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
                 cols[0].append(host)
                 cols[1].append(copy)
-                found, below = page_nodes(text, title)
+                found, below, times = page_nodes(text, title)
                 codes = {n: _hash(host, n) for n in found}
-                # per row: node, kind, content below it, whether it is the node's first row of the page, and with that what follows
-                rows = [(codes[n], CONTENT, 0, 1, *x) for n, x in found.items() if n[0] in "cp"]
+                # per row: node, kind, content below it, its lines, whether it is the node's first row of the page, and with that what follows
+                rows = [(codes[n], CONTENT, 0, times[n], 1, *x) for n, x in found.items() if n[0] in "cp"]
                 seen: set[str] = set()
                 for n, c in below:
                     first = n not in seen
                     seen.add(n)
                     # 32 bits of the content's code tell the contents of one node apart
-                    rows.append((codes[n], _KINDS[n[0]], (codes[c] >> 32) or 1, int(first), *(found[n] if first else (0, 0))))
-                for col, values in zip(cols[2:], zip(*rows, strict=True) if rows else [()] * 6, strict=True):
+                    rows.append((codes[n], _KINDS[n[0]], (codes[c] >> 32) or 1, 1, int(first), *(found[n] if first else (0, 0))))
+                for col, values in zip(cols[2:], zip(*rows, strict=True) if rows else [()] * 7, strict=True):
                     col.append(values)
             ints, bytes_ = pa.list_(pa.int32()), pa.list_(pa.int8())
-            kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), bytes_, ints, bytes_, ints, ints)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "copy", "nodes", "kind", "content", "first", "follows", "teases"])
+            kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), bytes_, ints, ints, bytes_, ints, ints)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "copy", "nodes", "kind", "content", "times", "first", "follows", "teases"])
 
     found = pages.select("host", "title", "text").mapInArrow(
         run,
-        "host string, copy bigint, nodes array<bigint>, kind array<tinyint>, content array<int>, first array<tinyint>, follows array<int>, teases array<int>",
+        "host string, copy bigint, nodes array<bigint>, kind array<tinyint>, content array<int>, times array<int>, first array<tinyint>, follows array<int>, teases array<int>",
     )
     # one row per distinct content of a host
     found = materialize(found.dropDuplicates(["host", "copy"]), "p4-nodes")
     sizes = found.groupBy("host").agg(F.count("*").alias("pages"))
-    nodes = found.select("host", F.explode(F.arrays_zip("nodes", "kind", "content", "first", "follows", "teases")).alias("x")).select("host", "x.*")
+    names = ["nodes", "kind", "content", "times", "first", "follows", "teases"]
+    nodes = found.select("host", F.explode(F.arrays_zip(*names)).alias("x")).select("host", "x.*")
     sums = [F.sum(x).alias(x) for x in ("first", "follows", "teases")]
-    parts = nodes.groupBy("host", "nodes", "kind", "content").agg(F.count("*").alias("n"), *sums)
+    times = F.col("times").cast("double")
+    over_pages = [F.sum("times").alias("n"), F.sum(times * F.log(times)).alias("page_logs")]
+    parts = nodes.groupBy("host", "nodes", "kind", "content").agg(*over_pages, *sums)
     # content nodes are whole by now, presentation nodes still by content
-    parts = parts.filter((F.col("kind") != CONTENT) | (F.col("n") >= LEAST_PAGES))
-    n = F.col("n")
-    counts = parts.groupBy("host", "nodes", "kind").agg(*sums, F.sum("n").alias("seen"), F.sum(n * F.log(n.cast("double"))).alias("logs"))
+    parts = parts.filter((F.col("kind") != CONTENT) | (F.col("first") >= LEAST_PAGES))
+    n = F.col("n").cast("double")
+    counts = parts.groupBy("host", "nodes", "kind").agg(*sums, F.sum("n").cast("double").alias("seen"), F.sum(n * F.log(n)).alias("logs"), F.sum("page_logs").alias("page_logs"))
     counts = counts.withColumnRenamed("first", "on")
-    counts = counts.filter(F.col("on") >= LEAST_PAGES).join(sizes, "host").filter(F.col("on") >= SHARE * F.col("pages"))
-    # -sum(p log p) over its most, log(seen), with p = n / seen
-    importance = 1 - F.col("logs") / (F.col("seen") * F.log(F.col("seen").cast("double")))
+    counts = counts.filter(F.col("on") >= LEAST_PAGES).join(sizes, "host")
+    seen, pages_ = F.col("seen"), F.col("pages").cast("double")
+    # entropies are -sum(p log p) with p = n / seen: of a content node over pages, of a presentation node over contents
+    tells = F.log(pages_) - (F.log(seen) - F.col("page_logs") / seen)
+    varied = 1 - F.col("logs") / (seen * F.log(seen))
+    often = F.col("on") >= SHARE * pages_
     fixed = F.when(F.col("kind") == LABEL, LABEL_SHARE).when(F.col("kind").isin(TAIL, WORD), TAIL_SHARE)
-    low = (F.col("kind") == CONTENT) | ((importance <= VARIED) & (F.col("kind") != WORD)) | (F.col("on") >= fixed * F.col("pages"))
+    style = (varied <= VARIED) & (F.col("kind") != WORD) | (F.col("on") >= fixed * pages_)
+    low = F.when(F.col("kind") == CONTENT, tells <= F.log(F.lit(1 / SHARE)) + 1e-9).otherwise(often & style)
     counts = counts.filter(low)
     heads = (F.col("follows") >= 3) & (F.col("teases") >= TEASERS * F.col("follows"))
     listed = counts.groupBy("host").agg(F.collect_list(F.struct(F.col("nodes").alias("node"), heads.alias("head"))).alias("known"))
-    return materialize(listed, "p4-tree")
+    return materialize(sizes.join(listed, "host", "left"), "p4-tree")
 
 
 def boilerplate(pages: DataFrame) -> DataFrame:
     """``page_id, line_no``: lines of ``raw_content`` that belong to the site's template.
 
-    Pages are joined with their host's tree, to which a hot host's pages are spread over ``SALT`` copies. The host is
-    ``source_domain`` in lower case without port, else that of ``url``; pages with neither form a site of their own. Null and blank
-    contents give no rows, blank lines never come out, sites with under three different pages lose only breadcrumbs
+    A host's pages pass by behind a copy of its tree, in one exchange; a host of more than ``PAGES`` pages is spread over
+    as many copies as that takes. The host is ``source_domain`` in lower case without port, else that of ``url``; pages with neither form a site
+    of their own. Null and blank contents give no rows, blank lines never come out, sites with under three different pages lose only breadcrumbs
     that repeat the title; repeated rows give the same lines once; an empty table gives no rows; other
     columns are not read. Whole pages count, at any length.
     """
@@ -239,25 +256,32 @@ def boilerplate(pages: DataFrame) -> DataFrame:
     slim = pages.select(
         pages["page_id"].alias("page_id"), host.alias("host"), pages["title"].alias("title"), pages["raw_content"].alias("text")
     ).filter("page_id is not null and trim(text) <> ''")
-    tree = style_tree(slim).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    salted = slim.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALT)).cast("int"))
-    joined = salted.join(tree, ["host", "salt"], "left").select("page_id", "host", "title", "text", "known")
+    slim = spread(slim)
+    tree = style_tree(slim)
+    # hosts of several copies are few: each has PAGES different pages
+    rows = slim.groupBy("host").agg(F.count("*").alias("rows")).filter(F.col("rows") > PAGES).withColumn("ways", F.ceil(F.col("rows") / PAGES).cast("int")).drop("rows")
+    rows = materialize(rows, "p4-hosts")
+    ways = F.coalesce("ways", F.lit(1))
+    copies = tree.join(rows, "host", "left").select("host", F.explode(F.sequence(F.lit(0), ways - 1)).alias("way"), "known")
+    many = F.broadcast(rows) if rows.count() <= BROADCAST_HOSTS else rows
+    spread_out = slim.join(many, "host", "left").withColumn("way", F.pmod(F.xxhash64("page_id"), ways).cast("int")).drop("ways")
+    both = spread_out.unionByName(copies, allowMissingColumns=True)
+    both = both.repartition("host", "way").sortWithinPartitions("host", "way", F.col("page_id").asc_nulls_first())
 
     def run(batches):
+        known: _Known | None = None
         for b in batches:
             ids, at = [], []
-            known_of: dict[str, dict[int, bool]] = {}
-            for page, host, title, text, row in zip(*(b.column(i) for i in range(5)), strict=True):
-                host = host.as_py()
-                known = known_of.get(host)
-                if known is None:
-                    known = known_of[host] = {x["node"]: x["head"] for x in row.as_py() or []}
-                found = template_lines(text.as_py(), title.as_py(), _Known(host, known))
+            for page, host, title, text, row in zip(*(b.column(c) for c in ("page_id", "host", "title", "text", "known")), strict=True):
+                if not page.is_valid:  # a host's tree comes before its pages
+                    known = _Known(host.as_py(), {x["node"]: x["head"] for x in row.as_py() or []})
+                    continue
+                found = template_lines(text.as_py(), title.as_py(), known)
                 ids += [page.as_py()] * len(found)
                 at += found
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64())], ["page_id", "line_no"])
 
-    return joined.mapInArrow(run, "page_id bigint, line_no bigint").distinct()
+    return both.mapInArrow(run, "page_id bigint, line_no bigint").distinct()
 
 
 class _Known:
