@@ -126,6 +126,19 @@ def _literal(col: Column, *pairs: tuple[str, str]) -> Column:
     return col
 
 
+#: Replacements of spacing and quotes in their order, and languages with a comma between digits (fixed values).
+SPACING_FIRST = (("\r", ""), ("(", " ("), (")", ") "))
+SPACING_INNER = (("( ", "("), (" )", ")"))
+SPACING_MARKS = (
+    (" :", ":"), (" ;", ";"), ("`", "'"), ("''", ' " '),
+    ("„", '"'), ("“", '"'), ("”", '"'), ("–", "-"), ("—", " - "), ("´", "'"),
+    ("‘", '"'), ("‚", '"'), ("’", '"'), ("''", '"'), ("…", "..."),
+    (" « ", ' "'), ("« ", '"'), ("«", '"'), (" » ", '" '), (" »", '"'), ("»", '"'),
+    (" %", "%"), (" :", ":"), (" ?", "?"), (" !", "!"), (" ;", ";"), ("．", ". "),
+)
+COMMA_LANGUAGES = ("de", "es", "cz", "cs", "fr")
+
+
 def spacing_for_tokens(col: Column, language: str = "en", strict_compat: bool = False) -> Column:
     """Spacing and quotes as word tokenizers expect them, by language.
 
@@ -133,24 +146,17 @@ def spacing_for_tokens(col: Column, language: str = "en", strict_compat: bool =
     bracket, per cent sign or quote they move.
     """
     slip = "\\\\" if strict_compat else ""  # a doubled backslash is one in a Java replacement
-    out = _literal(col, ("\r", ""), ("(", " ("), (")", ") "))
+    out = _literal(col, *SPACING_FIRST)
     out = F.regexp_replace(out, r"\) ([.!:?;,])", slip + r")$1")
-    out = _literal(out, ("( ", "("), (" )", ")"))
+    out = _literal(out, *SPACING_INNER)
     out = F.regexp_replace(out, r"(\p{Nd}) %", "$1" + slip + "%")
-    out = _literal(
-        out,
-        (" :", ":"), (" ;", ";"), ("`", "'"), ("''", ' " '),
-        ("„", '"'), ("“", '"'), ("”", '"'), ("–", "-"), ("—", " - "), ("´", "'"),
-        ("‘", '"'), ("‚", '"'), ("’", '"'), ("''", '"'), ("…", "..."),
-        (" « ", ' "'), ("« ", '"'), ("«", '"'), (" » ", '" '), (" »", '"'), ("»", '"'),
-        (" %", "%"), (" :", ":"), (" ?", "?"), (" !", "!"), (" ;", ";"), ("．", ". "),
-    )
+    out = _literal(out, *SPACING_MARKS)
     if language == "en":
         out = F.regexp_replace(out, r'"([,.]+)', "$1" + slip + '"')
     elif language not in ("cs", "cz"):
         out = _literal(out, (',"', '",'))
         out = F.regexp_replace(out, r'(\.+)"(' + SPACE_CLASS + r"*[^<])", slip + '"$1$2')
-    between = "," if language in ("de", "es", "cz", "cs", "fr") else "."
+    between = "," if language in COMMA_LANGUAGES else "."
     return F.regexp_replace(out, r"(\p{Nd}) (\p{Nd})", "$1" + between + "$2")
 
 
@@ -166,12 +172,16 @@ def unescape_newlines(col: Column, token: str = NEWLINE) -> Column:
     return F.replace(col, F.lit(token), F.lit("\n"))
 
 
+#: A word with inner apostrophes and hyphens, or one other mark.
+WORD_TOKEN = r"[\p{L}\p{M}\p{N}]+(?:['’-][\p{L}\p{M}\p{N}]+)*|[^\t\n\x0b\x0c\r \p{L}\p{M}\p{N}]"
+
+
 def word_tokens(col: Column, language: str = "en") -> Column:
     """Words, numbers and single marks of a text, after normalization and spacing; languages without spaces pass as one token."""
     if language in ("th", "zh", "ja"):
         return F.array(col)
     clean = spacing_for_tokens(normalize(col, accent=language in ("en", "my"), case=False, numbers=False, punct=1), language)
-    return F.regexp_extract_all(clean, F.lit(r"([\p{L}\p{M}\p{N}]+(?:['’-][\p{L}\p{M}\p{N}]+)*|[^\s\p{L}\p{M}\p{N}])"), 1)
+    return F.regexp_extract_all(clean, F.lit(f"({WORD_TOKEN})"), 1)
 
 
 # The same expressions for the SQL oracles; ``x`` is any SQL text expression.
@@ -198,3 +208,34 @@ def sql_replace_punct(x: str) -> str:
 
 def sql_control(x: str) -> str:
     return f"regexp_replace({x}, {_quoted(CONTROL)}, '', 'g')"
+
+
+def _sql_literal(x: str, *pairs: tuple[str, str]) -> str:
+    for old, new in pairs:
+        x = f"replace({x}, {_quoted(old)}, {_quoted(new)})"
+    return x
+
+
+def sql_spacing(x: str, language: str = "en") -> str:
+    out = _sql_literal(x, *SPACING_FIRST)
+    out = rf"regexp_replace({out}, '\) ([.!:?;,])', ')\1', 'g')"
+    out = _sql_literal(out, *SPACING_INNER)
+    out = rf"regexp_replace({out}, '(\p{{Nd}}) %', '\1%', 'g')"
+    out = _sql_literal(out, *SPACING_MARKS)
+    if language == "en":
+        out = rf"""regexp_replace({out}, '"([,.]+)', '\1"', 'g')"""
+    elif language not in ("cs", "cz"):
+        out = _sql_literal(out, (',"', '",'))
+        out = rf"""regexp_replace({out}, {_quoted(r'(\.+)"(' + SPACE_CLASS + '*[^<])')}, '"\1\2', 'g')"""
+    between = "," if language in COMMA_LANGUAGES else "."
+    return rf"regexp_replace({out}, '(\p{{Nd}}) (\p{{Nd}})', '\1{between}\2', 'g')"
+
+
+def sql_word_tokens(x: str, language: str = "en") -> str:
+    if language in ("th", "zh", "ja"):
+        return f"[{x}]"
+    clean = sql_strip(x)
+    if language in ("en", "my"):
+        clean = f"strip_accents({clean})"
+    clean = sql_spacing(sql_control(sql_replace_punct(clean)), language)
+    return f"regexp_extract_all({clean}, {_quoted(WORD_TOKEN)})"

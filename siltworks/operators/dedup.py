@@ -43,16 +43,23 @@ def duplicate_hashes(hashes: DataFrame) -> DataFrame:
     return hashes.filter("n_docs >= 2").drop("n_docs")
 
 
-def first_in_document(rows: DataFrame) -> DataFrame:
-    """Of equal lines of a document the first."""
-    return rows.withColumn("rn", F.row_number().over(W.partitionBy("doc", "hash").orderBy("pos"))).filter("rn = 1").drop("rn")
+def first_in_document(lines: DataFrame) -> DataFrame:
+    """One row per different line of a document, its first: the other columns, ``pos`` and ``hash``. Sorted within the row; no shuffle."""
+    others = [c for c in lines.columns if c != "hashes"]
+    return lines.select(*others, F.inline(_firsts(F.col("hashes")))).select(*others, "pos", "hash")
+
+
+def _firsts(hashes: Column) -> Column:
+    """``hash, pos`` of the first of each different hash, in the order of hashes."""
+    numbered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("hash"), i.alias("pos"))))
+    return let(numbered, lambda s: F.filter(s, lambda x, i: (i == 0) | (x["hash"] != F.get(s, i - 1)["hash"])))
 
 
 def two_pass_lines(lines: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """Lines whose hash no other document of the scope has."""
-    rows = exploded(lines)
+    rows = first_in_document(lines)
     dups = duplicate_hashes(collect_hashes(lines, scope))
-    return first_in_document(rows.join(dups, [*scope, "hash"], "left_anti"))
+    return rows.join(dups, [*scope, "hash"], "left_anti")
 
 
 def keep_first_lines(lines: DataFrame) -> DataFrame:
@@ -64,7 +71,7 @@ def keep_first_lines(lines: DataFrame) -> DataFrame:
 
 def known_lines_removed(lines: DataFrame, known: DataFrame) -> DataFrame:
     """Lines whose hash is not in ``known`` (column ``hash``), first occurrence per document."""
-    return first_in_document(exploded(lines).join(known.select("hash").distinct(), "hash", "left_anti"))
+    return first_in_document(lines).join(known.select("hash").distinct(), "hash", "left_anti").select("doc", "pos", "hash")
 
 
 def rebuild(df: DataFrame, kept: DataFrame, doc: str = "doc_id", text: str = "text", keep_empty: bool = False, columns: tuple[str, ...] = ()) -> DataFrame:
@@ -94,9 +101,7 @@ def rebuild(df: DataFrame, kept: DataFrame, doc: str = "doc_id", text: str = "te
 def intra_document(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document without its own repeated lines; no shuffle."""
     lines = documents_with_lines(df, doc, text, (text,))
-    order = F.sequence(F.lit(0), F.size("hashes") - 1)
-    ids = let(F.col("hashes"), lambda h: F.filter(order, lambda i: F.array_position(h, F.element_at(h, i + 1)) == i + 1))
-    kept = lines.withColumn("line_ids", ids)
+    kept = lines.withColumn("line_ids", F.array_sort(F.transform(_firsts(F.col("hashes")), lambda x: x["pos"])))
     return kept.select(F.col("doc").alias(doc), F.size("line_ids").alias("nlines"), "line_ids")
 
 

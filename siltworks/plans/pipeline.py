@@ -7,40 +7,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from siltworks.functions import pieces
 from siltworks.operators import buckets, dedup, lid, lm, metadata, verbs
 from siltworks.plans.config import Config
 from siltworks.session import materialize
 from siltworks.sources import sinks
 
-
 #: Steps whose result the next ones read several times: it is written out rather than computed again.
-REUSED = {"dedup", "lid", "lid_before_dedup", "lm", "fetch_metadata"}
+REUSED = {"dedup", "fetch_metadata"}
 #: Of several metadata rows of a record the last by these counts, as far as there are such columns.
 LATEST = ["written_at", "line_ids", "perplexity", "bucket", "language"]
 
 
 class Pipeline:
-    """Steps of ``config`` over documents; models are tables made beforehand.
+    """Steps of ``config`` over documents; models are made beforehand.
 
-    ``lid_model`` from ``lid.train``, ``vocab`` from ``lm.vocabulary``, ``cutoffs`` a table of percentiles, ``meta`` metadata
-    rows. Each step is ``DataFrame -> DataFrame``, so Catalyst sees one plan.
+    ``lid_model`` from ``lid.train``; ``model`` from ``lm.vocabulary`` (words, scored in the row) or an ``lm.NgramModel`` (over ``tokenized``);
+    ``cutoffs`` a table of percentiles; ``meta`` metadata rows; ``piece_models`` files of pieces by language (``*`` for all others), without which the
+    ``sp`` step cuts words. Each step is ``DataFrame -> DataFrame``, so Catalyst sees one plan. ``counters`` are filled when the result
+    is written: rows after each step.
     """
 
-    def __init__(self, config: Config, lid_model: DataFrame | None = None, vocab: DataFrame | None = None, cutoffs: DataFrame | None = None, meta: DataFrame | None = None):
-        self.config, self.lid_model, self.vocab, self.cutoffs, self.meta = config, lid_model, vocab, cutoffs, meta
+    def __init__(
+        self,
+        config: Config,
+        lid_model: DataFrame | None = None,
+        model: DataFrame | lm.NgramModel | None = None,
+        cutoffs: DataFrame | None = None,
+        meta: DataFrame | None = None,
+        piece_models: dict[str, str] | None = None,
+    ):
+        self.config, self.lid_model, self.model, self.cutoffs, self.meta, self.piece_models = config, lid_model, model, cutoffs, meta, piece_models or {}
+        self.observed: dict[str, Observation] = {}
 
     def steps(self) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
         """The steps before the sink, in the order of the config; unknown names are an error."""
         known = {
-            "lid_before_dedup": lambda df: self._languages(df, "lid_before_dedup"),
+            "lid_before_dedup": lambda df: lid.with_top_languages(df, self.lid_model, "lid_before_dedup"),
             "dedup": self._dedup,
-            "lid": self._lid,
-            "lid_after_dedup": lambda df: self._languages(df, "lid_after_dedup"),
+            "lid": lambda df: lid.with_language(df, self.lid_model, threshold=self.config.lang_threshold),
+            "lid_after_dedup": lambda df: lid.with_top_languages(df, self.lid_model, "lid_after_dedup"),
             "keep_lang": lambda df: verbs.keep_lang(df, "language", self.config.lang_whitelist, self.config.lang_blacklist),
-            "sp": lambda df: df.withColumn("tokenized", F.array_join(lm.words(F.col("raw_content")), " ")),
+            "sp": self._sp,
             "lm": self._lm,
             "pp_bucket": lambda df: buckets.perplexity_bucket(df, self.cutoffs),
             "drop": lambda df: df.drop("tokenized"),
@@ -54,10 +65,16 @@ class Pipeline:
         df = docs.filter(F.length("raw_content") >= self.config.min_len)
         for name, step in self.steps():
             df = df.transform(step)
+            self.observed[name] = Observation(f"after_{name}")
+            df = df.observe(self.observed[name], F.count("*").alias("docs"), *([F.sum(F.length("raw_content")).alias("chars")] if "raw_content" in df.columns else []))
             if name in REUSED:
                 df = materialize(df, name)
         return df
 
+    def counters(self) -> dict[str, dict[str, int]]:
+        """After the result has been written: documents and characters behind each step that ran."""
+        return {name: dict(o.get) for name, o in self.observed.items()}
+
     def write(self, docs: DataFrame, path: str | None = None) -> None:
         out, path = self.run(docs), path or self.config.mined_path()
         if "split_by_lang" in self.config.pipeline:
@@ -76,15 +93,17 @@ class Pipeline:
         others = tuple(c for c in df.columns if c not in ("doc_id", "raw_content", "nlines", "length", "original_nlines", "original_length", "line_ids"))
         return dedup.rebuild(df, kept, "doc_id", "raw_content", columns=others)
 
-    def _lid(self, df: DataFrame) -> DataFrame:
-        best = lid.top_languages(lid.scores(df, self.lid_model, "doc_id", "raw_content"), 1, self.config.lang_threshold)
-        return df.join(best.select(F.col("doc").alias("doc_id"), F.col("lang").alias("language"), F.col("score").alias("language_score")), "doc_id")
-
-    def _languages(self, df: DataFrame, name: str) -> DataFrame:
-        top = lid.top_languages(lid.scores(df, self.lid_model, "doc_id", "raw_content"), 5)
-        maps = top.groupBy(F.col("doc").alias("doc_id")).agg(F.map_from_entries(F.collect_list(F.struct("lang", "score"))).alias(name))
-        return df.join(maps, "doc_id", "left")
+    def _sp(self, df: DataFrame) -> DataFrame:
+        if self.piece_models:
+            return pieces.tokenize(df, self.piece_models)
+        return df.withColumn("tokenized", F.array_join(lm.words(F.col("raw_content")), " "))
 
     def _lm(self, df: DataFrame) -> DataFrame:
-        pp = lm.unigram_perplexity(df, lm.unigram_model(self.vocab), "doc_id", "raw_content", "language")
-        return df.join(pp.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
+        allowed = F.lit(True) if self.config.lm_languages is None else F.coalesce(F.col("language").isin(*self.config.lm_languages), F.lit(False))
+        if isinstance(self.model, lm.NgramModel):
+            df = materialize(df, "lm")
+            tokens = F.filter(F.split("tokenized", " "), lambda w: w != "")
+            scored = lm.ngram_perplexity(df.filter(allowed), self.model, tokens, "doc_id", "language")
+            return df.join(scored.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
+        pp = lm.unigram_column(self.model, F.col("raw_content"), F.col("language"))
+        return df.withColumn("perplexity", F.when(allowed, pp))

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.functions import hashing, text, urls
+from siltworks.functions import hashing, pieces, text, urls
 from siltworks.operators import buckets, dedup, describe, lid, lm, metadata, tags, verbs
+from siltworks.plans.config import BASE
+from siltworks.plans.pipeline import Pipeline
 from siltworks.queries.registry import query
 from siltworks.session import materialize, spread, table
 from siltworks.sources import readers, sinks
 
 SHARDS = 8
+#: Languages of the tables, and where the files of public tokenizers lie.
+LANGUAGES = ("en", "de", "fr", "es", "ru", "zh")
+TOKENIZERS = os.environ.get("SILTWORKS_TOKENIZERS", "/opt/tokenizers")
 NETLOC_SQL = "regexp_extract({0}, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)"
 
 
@@ -66,19 +73,39 @@ def remove_unicode_punct(spark, d):
     return documents(spark, d).select("doc_id", text.remove_unicode_punct(F.col("text")).alias("clean"))
 
 
-@query()
+@query("SELECT doc_id, strip_accents(text) AS clean FROM documents")
 def strip_accents(spark, d):
     return documents(spark, d).select("doc_id", text.strip_accents(F.col("text")).alias("clean"))
 
 
-@query()
+def _by_language(of) -> Column:
+    """``of(language)`` for the language of each row; English for null and unknown ones."""
+    out = F.when(F.lit(False), None)
+    for lang in LANGUAGES:
+        out = out.when(F.col("lang") == lang, of(lang))
+    return out.otherwise(of("en"))
+
+
+def _sql_by_language(of) -> str:
+    return "CASE " + " ".join(f"WHEN lang = '{x}' THEN {of(x)}" for x in LANGUAGES) + f" ELSE {of('en')} END"
+
+
+@query(f"SELECT doc_id, {_sql_by_language(lambda x: text.sql_spacing('text', x))} AS spaced FROM documents")
 def spacing_for_tokens(spark, d):
-    return documents(spark, d).select("doc_id", text.spacing_for_tokens(F.col("text"), "en").alias("spaced"))
+    return documents(spark, d).select("doc_id", _by_language(lambda x: text.spacing_for_tokens(F.col("text"), x)).alias("spaced"))
 
 
-@query()
+@query(f"SELECT doc_id, array_to_string({_sql_by_language(lambda x: text.sql_word_tokens('text', x))}, ' ') AS tokens FROM documents")
 def word_tokens(spark, d):
-    return documents(spark, d).select("doc_id", F.size(text.word_tokens(F.col("text"))).alias("n_tokens"))
+    return documents(spark, d).select("doc_id", F.array_join(_by_language(lambda x: text.word_tokens(F.col("text"), x)), " ").alias("tokens"))
+
+
+@query("SELECT doc_id, ltrim(text, ' ') AS text FROM documents WHERE text <> ''")
+def sp_pieces(spark, d):
+    """Cuts texts into pieces and puts them together again; the oracle has the texts as they are, but for spaces before the first word."""
+    model = os.path.join(TOKENIZERS, "piece_bpe_32k.model")
+    found = documents(spark, d).filter("text <> ''").select("doc_id", pieces.joined(pieces.pieces(F.col("text"), model)).alias("tokenized"))
+    return found.select("doc_id", F.ltrim(pieces.from_pieces(F.col("tokenized"), model)).alias("text"))
 
 
 @query("SELECT doc_id, replace(text, chr(10), ' N3WL1N3 ') AS escaped FROM documents")
@@ -111,19 +138,26 @@ def packed_line_hashes(spark, d):
     return df.select(F.col("doc_id").alias("doc"), hashing.encode_hashes(hashes).alias("packed"))
 
 
-@query("SELECT mined_id, base64(unhex(coalesce(list_aggregate(list_transform(line_ids, lambda i: printf('%02x%02x', i % 256, i // 256)), 'string_agg', ''), ''))) AS packed FROM mined_docs WHERE line_ids IS NOT NULL")
+_PACKED = "CASE WHEN line_ids IS NOT NULL THEN base64(unhex(coalesce(list_aggregate(list_transform(line_ids, lambda i: printf('%02x%02x', i % 256, i // 256)), 'string_agg', ''), ''))) END"
+
+
+@query(f"SELECT mined_id, {_PACKED} AS packed FROM mined_docs")
 def minify_line_ids(spark, d):
-    return mined(spark, d).filter("line_ids is not null").select("mined_id", hashing.encode_line_ids(F.col("line_ids")).alias("packed"))
+    return mined(spark, d).select("mined_id", hashing.encode_line_ids(F.col("line_ids")).alias("packed"))
 
 
-@query("SELECT mined_id, array_to_string(line_ids, ',') AS ids FROM mined_docs WHERE line_ids IS NOT NULL")
+@query("SELECT mined_id, array_to_string(line_ids, ',') AS ids FROM mined_docs")
 def line_ids_roundtrip(spark, d):
     """Packs and unpacks; the oracle has the ids as they are."""
     ids = hashing.decode_line_ids(hashing.encode_line_ids(F.col("line_ids")))
-    return mined(spark, d).filter("line_ids is not null").select("mined_id", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
+    return mined(spark, d).select("mined_id", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
 
 
-@query()
+_KEY = "upper(regexp_replace(digest, '^sha1:', ''))"
+_KEY_SQL = " + ".join(f"(instr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', substr({_KEY}, {i + 1}, 1)) - 1)::BIGINT * {32 ** (6 - i)}" for i in range(7))
+
+
+@query(f"SELECT mined_id, CASE WHEN regexp_matches({_KEY}, '^[A-Z2-7]{{7}}') THEN printf('%08x', ({_KEY_SQL}) // 8) END AS key FROM mined_docs")
 def document_keys(spark, d):
     return mined(spark, d).select("mined_id", hashing.document_key(F.col("digest")).alias("key"))
 
@@ -333,42 +367,44 @@ def histogram_cumulative(spark, d):
 
 
 @query(
-    "SELECT url, digest, cc_segment, language, round(language_score, 2) AS language_score, round(perplexity, 1) AS perplexity, bucket, "
-    "base64(unhex(coalesce(list_aggregate(list_transform(line_ids, lambda i: printf('%02x%02x', i % 256, i // 256)), 'string_agg', ''), ''))) AS line_ids "
-    "FROM mined_docs WHERE line_ids IS NOT NULL AND NOT isnan(perplexity) AND NOT isinf(perplexity)"
+    f"SELECT url, digest, cc_segment, language, round(language_score, 2) AS language_score, round(perplexity, 1) AS perplexity, bucket, {_PACKED} AS line_ids FROM mined_docs"
 )
 def minify_docs(spark, d):
-    df = mined(spark, d).filter("line_ids is not null and not isnan(perplexity) and abs(perplexity) < double('Infinity')")
-    return metadata.minify(df)
+    return metadata.minify(mined(spark, d))
 
 
-_FETCH = """WITH docs AS (SELECT mined_id, cc_segment, digest, url, raw_content, nlines FROM mined_docs WHERE cc_segment IS NOT NULL AND digest IS NOT NULL
+_FETCH = r"""WITH docs AS (SELECT mined_id, cc_segment, digest, url, raw_content FROM mined_docs WHERE cc_segment IS NOT NULL AND digest IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY cc_segment, digest ORDER BY mined_id) = 1),
 meta AS (SELECT * FROM mini_docs WHERE cc_segment IS NOT NULL AND digest IS NOT NULL QUALIFY row_number() OVER (PARTITION BY cc_segment, digest
-  ORDER BY written_at DESC NULLS LAST, line_ids DESC NULLS LAST, perplexity DESC NULLS LAST, bucket DESC NULLS LAST, language DESC NULLS LAST) = 1)
-SELECT mined_id, coalesce(m.url, d.url) AS url, m.language, m.bucket FROM docs d JOIN meta m USING (cc_segment, digest)"""
+  ORDER BY written_at DESC NULLS LAST, line_ids DESC NULLS LAST, perplexity DESC NULLS LAST, bucket DESC NULLS LAST, language DESC NULLS LAST) = 1),
+bin AS (SELECT cc_segment, digest, url, language, bucket, hex(CASE WHEN regexp_full_match(line_ids, '([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?') THEN from_base64(line_ids) END) AS h FROM meta),
+ids AS (SELECT *, list_transform(range(len(h) // 4), lambda i: ('0x' || substr(h, (i * 4 + 3)::INT, 2) || substr(h, (i * 4 + 1)::INT, 2))::INT) AS ids FROM bin),
+joined AS (SELECT mined_id, coalesce(m.url, d.url) AS url, m.language, m.bucket, string_split(raw_content, chr(10)) AS parts, ids FROM docs d JOIN ids m USING (cc_segment, digest)),
+kept AS (SELECT *, list_transform(list_filter(ids, lambda i: i < len(parts)), lambda i: parts[i + 1]) AS own FROM joined)
+SELECT mined_id, url, language, bucket, coalesce(array_to_string(own, chr(10)), '') AS raw_content, coalesce(len(own), 0)::INT AS nlines, length(coalesce(array_to_string(own, chr(10)), ''))::INT AS length FROM kept"""
 
 
 @query(_FETCH)
 def fetch_metadata(spark, d):
-    """Metadata of the latest version joined back to documents."""
+    """Metadata of the latest version joined back to documents, of which the lines it names stay."""
     docs = mined(spark, d).select("mined_id", "cc_segment", "digest", "url", "raw_content", "nlines")
     latest = ["written_at", "line_ids", "perplexity", "bucket", "language"]
     out = metadata.fetch_metadata(docs, table(spark, d, "mini_docs"), latest, order=["mined_id"])
-    return out.select("mined_id", "url", "language", "bucket")
+    return out.select("mined_id", "url", "language", "bucket", "raw_content", "nlines", "length")
 
 
-@query("SELECT mined_id, raw_content, array_to_string(list_transform(range(len(string_split(raw_content, chr(10)))), lambda i: i), ',') AS line_ids FROM mined_docs WHERE raw_content <> '' AND digest IS NOT NULL AND cc_segment IS NOT NULL QUALIFY row_number() OVER (PARTITION BY cc_segment, digest ORDER BY mined_id) = 1")
+@query("""WITH d AS (SELECT mined_id, string_split(raw_content, chr(10)) AS parts, list_distinct(list_filter(line_ids, lambda i: i BETWEEN 0 AND 65535)) AS ids FROM mined_docs
+  WHERE raw_content IS NOT NULL AND digest IS NOT NULL AND cc_segment IS NOT NULL QUALIFY row_number() OVER (PARTITION BY cc_segment, digest ORDER BY mined_id) = 1),
+k AS (SELECT mined_id, list_transform(list_sort(list_filter(ids, lambda i: i < len(parts))), lambda i: parts[i + 1]) AS own FROM d)
+SELECT mined_id, coalesce(array_to_string(own, chr(10)), '') AS raw_content, coalesce(len(own), 0)::INT AS nlines FROM k""")
 def fetch_metadata_roundtrip(spark, d):
-    """Minify with every line kept, then fetch: the text comes back as it was."""
-    docs = mined(spark, d).filter("raw_content <> '' and digest is not null and cc_segment is not null")
-    n = F.size(F.split("raw_content", "\n"))
+    """Minify with the lines that ``line_ids`` names, then fetch: those lines come back, in their order."""
+    docs = mined(spark, d).filter("raw_content is not null and digest is not null and cc_segment is not null")
     full = metadata.one_version(docs.withColumn("neg", -F.col("mined_id")), ["cc_segment", "digest"], ["neg"]).drop("neg")
-    full = full.withColumn("line_ids", F.sequence(F.lit(0), n - 1))
+    full = full.withColumn("line_ids", F.array_sort(F.array_distinct(F.filter("line_ids", lambda i: i.between(0, 65_535)))))
     meta = metadata.minify(full)
     back = metadata.fetch_metadata(full.drop("line_ids", "language", "language_score", "perplexity", "bucket"), meta, ["line_ids"], order=["mined_id"])
-    ids = hashing.decode_line_ids(hashing.encode_line_ids(F.sequence(F.lit(0), F.col("nlines") - 1)))
-    return back.select("mined_id", "raw_content", F.array_join(ids.cast("array<string>"), ",").alias("line_ids"))
+    return back.select("mined_id", "raw_content", "nlines")
 
 
 @query(
@@ -383,10 +419,12 @@ def paragraph_explode_join(spark, d):
     return metadata.paragraphs(docs, meta)
 
 
-@query("SELECT mined_id, language FROM mined_docs WHERE language IS NULL OR language NOT IN ('en', 'de', 'fr', 'es', 'ru', 'zh')")
+@query("SELECT mined_id, language, '2018-34' AS snapshot FROM mined_docs WHERE language IS NULL OR language NOT IN ('en', 'de', 'fr', 'es', 'ru', 'zh') UNION ALL SELECT mined_id, language, '2018-51' FROM mined_docs")
 def snapshot_filter(spark, d):
-    big = ("en", "de", "fr", "es", "ru", "zh")
-    return metadata.snapshot_filter(mined(spark, d), "2018-34", "2018-51", big).select("mined_id", "language")
+    """An earlier snapshot, which loses its big languages, and the latest."""
+    df = mined(spark, d)
+    parts = [metadata.snapshot_filter(df, s, "2018-51", LANGUAGES).select("mined_id", "language", F.lit(s).alias("snapshot")) for s in ("2018-34", "2018-51")]
+    return parts[0].union(parts[1])
 
 
 # --- language identification ------------------------------------------------------------------------------------
@@ -405,31 +443,40 @@ ranked AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY s DESC, lang
 """
 
 
-def _scored(spark, d):
+def _classified(spark, d, k=1, threshold=0.0):
     df = documents(spark, d)
-    return lid.scores(df, lid.train(df))
+    return lid.classify(df, materialize(lid.train(df), "lid"), k=k, threshold=threshold)
 
 
 @query(f"WITH {_GRAMS} SELECT doc, rank, lang, score FROM ranked WHERE rank = 1")
 def lid_top1(spark, d):
-    return lid.top_languages(_scored(spark, d))
+    return _classified(spark, d)
 
 
 @query(f"WITH {_GRAMS} SELECT doc, rank, lang, score FROM ranked WHERE rank <= 5")
 def lid_top5(spark, d):
-    return lid.top_languages(_scored(spark, d), 5)
+    return _classified(spark, d, 5)
 
 
 @query(f"WITH {_GRAMS} SELECT doc, rank, lang, score FROM ranked WHERE rank = 1 AND score >= 0.99")
 def lid_threshold(spark, d):
-    return lid.top_languages(_scored(spark, d), 1, 0.99)
+    return _classified(spark, d, 1, 0.99)
 
 
 @query(f"WITH {_GRAMS} SELECT d.lang AS before, r.lang AS after, count(*) AS docs FROM (SELECT doc_id, lang FROM documents) d FULL JOIN (SELECT * FROM ranked WHERE rank = 1) r ON r.doc = d.doc_id GROUP BY ALL")
 def lid_disagreement(spark, d):
     """Stated language against the found one."""
     stated = documents(spark, d).select(F.col("doc_id").alias("doc"), "lang")
-    return lid.disagreement(stated, lid.top_languages(_scored(spark, d)))
+    return lid.disagreement(stated, _classified(spark, d))
+
+
+@query(f"WITH {_GRAMS} SELECT doc_id, CASE WHEN coalesce(d.lang, 'fr') = 'fr' THEN r.lang ELSE d.lang END AS language, CASE WHEN coalesce(d.lang, 'fr') = 'fr' THEN r.score END AS language_score "
+       "FROM documents d LEFT JOIN (SELECT * FROM ranked WHERE rank = 1) r ON r.doc = doc_id WHERE coalesce(d.lang, 'fr') <> 'fr' OR r.score >= 0.5")
+def lid_one_language(spark, d):
+    """Only texts that are said to be French, or nothing, are scored; the others pass."""
+    df = documents(spark, d)
+    out = lid.with_language(df.withColumn("language", F.col("lang")), materialize(lid.train(df), "lid"), "text", 0.5, "fr")
+    return out.select("doc_id", "language", "language_score")
 
 
 # --- language models --------------------------------------------------------------------------------------------
@@ -473,13 +520,47 @@ def lm_unigram_perplexity(spark, d):
     "pairs AS (SELECT doc, lang, words[i::INT] AS a, words[i::INT + 1] AS b FROM base, unnest(generate_series(1, len(words) - 1)) AS t(i) WHERE lang IS NOT NULL), "
     "bi AS (SELECT c.lang, c.a, c.b, log10(c.n / v.n) AS p2 FROM (SELECT lang, a, b, count(*) AS n FROM pairs GROUP BY ALL HAVING count(*) >= 2) c JOIN vocab v ON v.lang = c.lang AND v.word = c.a), "
     f"s AS (SELECT p.doc, sum(coalesce(bi.p2, coalesce(m.logp, u.p0) + log10({lm.BACKOFF}))) AS s FROM pairs p LEFT JOIN bi USING (lang, a, b) LEFT JOIN model m ON m.lang = p.lang AND m.word = p.b JOIN unk u ON u.lang = p.lang GROUP BY p.doc) "
-    "SELECT doc, round(pow(10.0, -s / (len(words) + n_lines)), 1) AS perplexity FROM base JOIN s USING (doc)"
+    "SELECT doc, round(pow(10.0, -s / (len(words) + n_lines)), 1) AS perplexity FROM base LEFT JOIN s USING (doc)"
 )
 def lm_bigram_perplexity(spark, d):
     df = documents(spark, d)
     return lm.bigram_perplexity(df, materialize(lm.vocabulary(df), "vocab"))
 
 
+def _order5() -> str:
+    """Interpolated n-grams up to order 5 over the words of ``base``."""
+    d = lm.DISCOUNT
+    levels = [f"p1 AS (SELECT c.lang, c.gram, greatest(n - {d}, 0) / x.c + {d} * x.t / x.c / (x.t + 1) AS p FROM c JOIN x USING (lang, k, context) WHERE k = 1)"]
+    for k in range(2, lm.ORDER + 1):
+        levels.append(f"p{k} AS (SELECT c.lang, c.gram, greatest(n - {d}, 0) / x.c + {d} * x.t / x.c * b.p AS p FROM c JOIN x USING (lang, k, context) JOIN p{k - 1} b ON b.lang = c.lang AND b.gram = c.suffix WHERE k = {k})")
+
+    def joined(first: int, last: int) -> str:
+        return " || ' ' || ".join(f"t{n}" for n in range(first, last - 1, -1)) or "''"
+
+    def one(k: int) -> str:
+        return f"SELECT doc, lang, {k} AS k, {k} = least(i, {lm.ORDER}) AS top, {joined(k - 1, 0)} AS gram, {joined(k - 1, 1)} AS context, {joined(k - 2, 0)} AS suffix FROM back WHERE i >= greatest(2, {k})"
+
+    every = " UNION ALL ".join(f"SELECT {k} AS k, * FROM p{k}" for k in range(1, lm.ORDER + 1))
+    return f"""
+tok AS (SELECT doc, lang, unnest(list_concat(['<s>'], words, ['</s>'])) AS t0, unnest(generate_series(1, len(words) + 2)) AS i FROM base WHERE lang IS NOT NULL AND words IS NOT NULL),
+back AS (SELECT doc, lang, i, t0, {', '.join(f'lag(t0, {n}) OVER w AS t{n}' for n in range(1, lm.ORDER))} FROM tok WINDOW w AS (PARTITION BY doc ORDER BY i)),
+g AS ({' UNION ALL '.join(one(k) for k in range(1, lm.ORDER + 1))}),
+c AS (SELECT lang, k, gram, context, suffix, count(*) AS n FROM g GROUP BY ALL),
+x AS (SELECT lang, k, context, sum(n) AS c, count(*) AS t FROM c GROUP BY ALL),
+{', '.join(levels)}, p AS ({every})"""
+
+
+@query(
+    f"WITH {_BASE}, {_order5()} SELECT doc, round(pow(10.0, -sum(log10(p)) / count(*)), 1) AS perplexity FROM g JOIN p USING (lang, k, gram) WHERE top GROUP BY doc"
+)
+def lm_order5_perplexity(spark, d):
+    """Documents under a model of order 5 of the documents themselves."""
+    df = documents(spark, d)
+    found = materialize(lm.places(df, lm.words(F.replace("text", F.lit("\n"), F.lit(" ")))), "lm-places")
+    model = lm.NgramModel.train(found)
+    return model.log10(found).select("doc", F.round(lm.perplexity(F.col("log10"), F.col("n")), 1).alias("perplexity"))
+
+
 _SENT = r"""sent AS (SELECT DISTINCT lang, trim(s) AS sentence FROM (SELECT lang, unnest(string_split(regexp_replace(text, '([.!?。！？])[\x09-\x0d\x20]+', '\1' || chr(10), 'g'), chr(10))) AS s FROM documents) WHERE trim(s) <> '')"""
 
 
@@ -567,11 +648,9 @@ def tag_corpus(spark, d):
 
 @query("WITH s AS (SELECT DISTINCT cc_segment FROM mined_docs WHERE cc_segment IS NOT NULL), r AS (SELECT cc_segment, row_number() OVER (ORDER BY cc_segment) - 1 AS i, count(*) OVER () AS n FROM s) SELECT cc_segment, (CASE WHEN i < n // 4 THEN 0 WHEN i < 2 * n // 4 THEN 1 WHEN i < 3 * n // 4 THEN 2 ELSE 3 END)::INT AS shard FROM r")
 def shard_assignment(spark, d):
-    """The manifest of segments, cut into four shards. A manifest has as many rows as there are archive files."""
-    rows = mined(spark, d).select("cc_segment").filter("cc_segment is not null").distinct().orderBy("cc_segment").collect()
-    names = [r[0] for r in rows]
-    found = [(s, k) for k in range(4) for s in readers.shard_segments(names, k, 4)]
-    return spark.createDataFrame(found, "cc_segment string, shard int")
+    """The manifest of segments, cut into four shards."""
+    manifest = mined(spark, d).select("cc_segment").filter("cc_segment is not null").distinct()
+    return readers.assign_shards(manifest, "cc_segment", 4)
 
 
 _GROUPS = """WITH f AS (SELECT lang AS prefix, source AS name, sum(n_chars)::BIGINT AS size FROM documents WHERE lang IS NOT NULL GROUP BY ALL HAVING sum(n_chars) IS NOT NULL),
@@ -588,12 +667,16 @@ def size_groups(spark, d):
     return sinks.size_groups(files, 20_000)
 
 
-@query()
+@query("SELECT count(*) AS rows, sum(('0x' || substr(sha1(doc_id::VARCHAR || chr(31) || coalesce(lang, chr(0)) || chr(31) || coalesce(text, chr(0))), 1, 15))::BIGINT)::VARCHAR AS sum FROM documents")
 def content_checksum(spark, d):
-    return sinks.checksum(documents(spark, d), ["doc_id", "text", "lang"])
+    found = sinks.checksum(documents(spark, d), ["doc_id", "text", "lang"])
+    return found.select("rows", F.col("sum").cast("string").alias("sum"))
 
 
-@query()
+@query(r"""WITH p AS (SELECT page_id, regexp_extract(url, '^[ \t]*(\S+)', 1) AS url, strlen(raw_content) AS length,
+  regexp_replace(replace(coalesce(title, '-') || chr(10) || raw_content || chr(10) || chr(10), chr(13), ''), '\n[ \t]*\n[ \t]*\n?$', '') AS body FROM wet_pages WHERE raw_content <> '' AND url IS NOT NULL),
+l AS (SELECT *, list_transform(string_split(body, chr(10)), lambda x: trim(x, ' ')) AS lines FROM p)
+SELECT page_id, url, lines[1] AS title, (len(lines) - 1)::INT AS nlines, length FROM l WHERE array_to_string(lines[2:], chr(10)) <> ''""")
 def wet_archive_roundtrip(spark, d):
     """Prints pages as WET records and parses them again."""
     pages = table(spark, d, "wet_pages").filter("raw_content <> '' and url is not null")
@@ -623,13 +706,42 @@ def mine_counts(spark, d):
     return docs.groupBy(F.col("lang").alias("language")).agg(F.count("*").alias("docs"), F.sum("nlines").alias("nlines"), F.sum("length").alias("chars"))
 
 
-@query()
+_PIPELINE_SQL = f"""
+WITH {HASHED.replace('WHERE length(text) > 0', 'WHERE length(text) >= 300')}, {_TWO_PASS.format('', '')},
+mined AS ({REBUILT.format('kept')}), {_GRAMS.strip()},
+clean2 AS (SELECT doc_id AS doc, ' ' || trim(regexp_replace(lower(text), '[^\\p{{L}}]+', ' ', 'g')) || ' ' AS c FROM mined),
+grams2 AS (SELECT doc, substr(c, i::INT, 3) AS gram FROM clean2, unnest(generate_series(1, length(c) - 2)) AS t(i)),
+sums2 AS (SELECT g.doc, m.lang, sum(m.logp) AS s FROM grams2 g JOIN model m USING (gram) GROUP BY ALL),
+scored2 AS (SELECT doc, lang, s, round(1 / sum(exp(s - mx)) OVER (PARTITION BY doc), 2) AS score, row_number() OVER (PARTITION BY doc ORDER BY s DESC, lang) AS rn
+            FROM (SELECT *, max(s) OVER (PARTITION BY doc) AS mx FROM sums2)),
+lid AS (SELECT doc, lang FROM scored2 WHERE rn = 1 AND score >= 0.5),
+{_UNI.replace('model AS', 'words_model AS')},
+w2 AS (SELECT doc_id AS doc, {_words_sql('replace(text, chr(10), chr(32))')} AS words, len(string_split(text, chr(10))) AS n_lines, nlines FROM mined),
+w3 AS (SELECT w2.doc, lid.lang, unnest(words) AS word FROM w2 JOIN lid USING (doc)),
+s2 AS (SELECT doc, sum(coalesce(m.logp, u.p0)) AS s FROM w3 LEFT JOIN words_model m ON m.lang = w3.lang AND m.word = w3.word JOIN unk u ON u.lang = w3.lang GROUP BY doc),
+pp AS (SELECT w2.doc, lid.lang AS language, nlines, round(pow(10.0, -s / (len(words) + n_lines)), 1) AS perplexity FROM w2 JOIN lid USING (doc) LEFT JOIN s2 USING (doc)),
+{_CUT}, b AS (SELECT language, nlines, CASE WHEN h IS NULL OR t IS NULL OR perplexity IS NULL THEN 'all' WHEN perplexity < h THEN 'head' WHEN perplexity < t THEN 'middle' ELSE 'tail' END AS bucket FROM pp LEFT JOIN cut ON cut.lang = language)
+SELECT language, bucket, count(*) AS docs, sum(nlines)::BIGINT AS nlines FROM b GROUP BY ALL"""
+
+
+def _to_mine(df: DataFrame) -> DataFrame:
+    return df.select("doc_id", F.col("text").alias("raw_content"), (F.col("doc_id") % SHARDS).cast("int").alias("shard"), "source")
+
+
+@query(_PIPELINE_SQL)
 def full_mine_pipeline(spark, d):
     """All default steps but the sink: documents per language and bucket."""
-    from siltworks.plans.config import BASE
-    from siltworks.plans.pipeline import Pipeline
+    df = documents(spark, d)
+    run = Pipeline(BASE, materialize(lid.train(df), "lid"), lm.unigram_model(materialize(lm.vocabulary(df), "vocab")), table(spark, d, "cutoffs"))
+    return run.run(_to_mine(df)).groupBy("language", "bucket").agg(F.count("*").alias("docs"), F.sum("nlines").alias("nlines"))
 
+
+@query()
+def full_mine_pipeline_pieces(spark, d):
+    """The same with subword pieces and a model of order 5 over them, trained on the pieces of the documents."""
     df = documents(spark, d)
-    docs = df.select("doc_id", F.col("text").alias("raw_content"), (F.col("doc_id") % SHARDS).cast("int").alias("shard"), "source")
-    run = Pipeline(BASE, materialize(lid.train(df), "lid"), materialize(lm.vocabulary(df), "vocab"), table(spark, d, "cutoffs"))
-    return run.run(docs).groupBy("language", "bucket").agg(F.count("*").alias("docs"), F.sum("nlines").alias("nlines"))
+    models = {"*": os.path.join(TOKENIZERS, "piece_bpe_32k.model")}
+    cut = pieces.tokenize(df.filter("text <> ''"), models, "text", language="lang").select("doc_id", "lang", F.split("tokenized", " ").alias("tokens"))
+    model = lm.NgramModel.train(materialize(lm.places(cut, F.col("tokens")), "lm-places"))
+    run = Pipeline(BASE, materialize(lid.train(df), "lid"), model, table(spark, d, "cutoffs"), piece_models=models)
+    return run.run(_to_mine(df)).groupBy("language", "bucket").agg(F.count("*").alias("docs"), F.sum("nlines").alias("nlines"))

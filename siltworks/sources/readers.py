@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,6 +107,18 @@ def shard_segments(segments: list[str], shard: int, num_shards: int, limit: int
     return own if limit < 0 else own[:limit]
 
 
+def assign_shards(manifest: DataFrame, name: str, num_shards: int) -> DataFrame:
+    """``name, shard``: the consecutive slice of the sorted manifest to which each segment belongs, as ``shard_segments`` cuts it.
+
+    A manifest has a row an archive file, so that one window over it is small.
+    """
+    ranked = manifest.select(name).withColumn("i", F.row_number().over(W.orderBy(name)) - 1).withColumn("n", F.count("*").over(W.partitionBy()))
+    # the first shard whose end lies behind the row: ends are floor((shard + 1) n / N)
+    shards = F.sequence(F.lit(0), F.lit(num_shards - 1))
+    shard = F.size(F.filter(shards, lambda k: F.floor((k + 1) * F.col("n") / num_shards) <= F.col("i")))
+    return ranked.select(name, shard.alias("shard"))
+
+
 def dump_names(page: str) -> list[str]:
     """Names of the dumps that an index page mentions, sorted."""
     return sorted(set(re.findall(r"CC-MAIN-(\d{4}-\d{2})", page)))

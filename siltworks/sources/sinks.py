@@ -79,7 +79,11 @@ def regroup(spark: SparkSession, source: str, target: str, files: int, key: list
 
 
 def checksum(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``rows, sum``: order-insensitive check of a table's content, by adding row hashes."""
+    """``rows, sum``: order-insensitive check of a table's content, by adding 60 bits of each row's SHA-1.
+
+    A row is its columns in the order of their names as text, separated by U+001F, null as U+0000.
+    """
     cols = sorted(columns or df.columns)
-    value = F.xxhash64(*[F.coalesce(df[c].cast("string"), F.lit("\0")) for c in cols]).cast("decimal(38,0)")
+    row = F.concat_ws("\x1f", *[F.coalesce(df[c].cast("string"), F.lit("\0")) for c in cols])
+    value = F.conv(F.substring(F.sha1(F.encode(row, "UTF-8")), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0).cast("decimal(38,0)")).alias("sum"))

@@ -1,6 +1,10 @@
+import math
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
+from siltworks.functions import pieces
 from siltworks.operators import buckets, describe, lid, lm, metadata, tags, verbs
 from siltworks.plans.cli import stages
 from siltworks.plans.config import PRESETS, Config
@@ -98,10 +102,11 @@ def test_buckets(spark):
 def test_languages(spark):
     rows = [(i, "the garden of the house and the river", "en") for i in range(4)] + [(i + 4, "der garten und das haus an dem fluss", "de") for i in range(4)] + [(8, "", "en"), (9, None, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    scored = lid.scores(df, lid.train(df))
-    best = {r["doc"]: r["lang"] for r in lid.top_languages(scored).collect()}
+    model = lid.train(df)
+    scored = lid.scores(df, model)
+    best = {r["doc"]: r["lang"] for r in lid.classify(df, model).collect()}
     assert best == {i: "en" if i < 4 else "de" for i in range(8)}
-    assert lid.top_languages(scored, 5).count() == 16
+    assert lid.classify(df, model, k=5).count() == 16 and scored.count() == 16
     votes = spark.createDataFrame([(1, "en", 0.9, 3), (1, "de", 0.6, 10)], "doc int, lang string, score double, length int")
     assert lid.length_weighted(votes).first()["lang"] == "de"
 
@@ -114,7 +119,54 @@ def test_language_model(spark):
     assert pp[1] == round((3 / 6 * 3 / 6 * 2 / 6) ** -0.25, 1)
     assert pp[2] == round((3 / 6 * 1 / 6) ** (-1 / 3), 1)
     assert pp[3] is None and pp[4] is None
-    assert lm.bigram_perplexity(df, vocab, least=1).count() == 2
+    two = {r["doc"]: r["perplexity"] for r in lm.bigram_perplexity(df, vocab, least=1).collect()}
+    assert set(two) == {1, 2, 3, 4} and two[1] and two[2] and two[3] is None and two[4] is None
+
+
+def test_ngram_model_sums_to_one_and_backs_off(spark, tmp_path):
+    text = "a b a b c a b a".split()
+    df = spark.createDataFrame([(1, text, "en"), (2, ["b", "a", "c"], "en"), (3, ["a", "zz", "a", "b"], "en"), (4, ["a"], "xx"), (5, None, "en")], "doc_id bigint, w array<string>, lang string")
+    model = lm.NgramModel.train(lm.places(df.filter("doc_id = 1"), F.col("w"), order=3), order=3)
+    model.save(str(tmp_path / "model"))
+    model = lm.NgramModel.load(spark, str(tmp_path / "model"), 3)
+    pp = {r["doc"]: r["perplexity"] for r in lm.ngram_perplexity(df, model, F.col("w")).collect()}
+
+    tokens, d = ["<s>", *text, "</s>"], 0.75
+    grams = {k: Counter(tuple(tokens[i - k + 1 : i + 1]) for i in range(1, len(tokens)) if i - k + 1 >= 0) for k in (1, 2, 3)}
+
+    def p(gram):
+        if not gram:
+            return 1 / (len(grams[1]) + 1)
+        own = {g: n for g, n in grams[len(gram)].items() if g[:-1] == gram[:-1]}
+        if not own:
+            return p(gram[1:])
+        c = sum(own.values())
+        return max(own.get(gram, 0) - d, 0) / c + d * len(own) / c * p(gram[1:])
+
+    vocabulary = [g[0] for g in grams[1]] + ["other"]
+    for context in ((), ("a",), ("a", "b"), ("zz",)):
+        assert abs(sum(p((*context, w)) for w in vocabulary) - 1) < 1e-9
+    for doc, words in ((1, text), (2, ["b", "a", "c"]), (3, ["a", "zz", "a", "b"])):
+        x = ["<s>", *words, "</s>"]
+        logs = sum(math.log10(p(tuple(x[max(0, i - 2) : i + 1]))) for i in range(1, len(x)))
+        assert pp[doc] == pytest.approx(10 ** (-logs / (len(words) + 1)), abs=0.051)
+    assert set(pp) == {1, 2, 3}
+
+
+def test_pieces_by_language(spark):
+    model = "/opt/tokenizers/piece_bpe_32k.model"
+    df = spark.createDataFrame([(1, "en", "The old house."), (2, "de", "Das alte Haus"), (3, None, "x"), (4, "en", None), (5, "en", "")], "doc_id int, language string, raw_content string")
+    out = {r["doc_id"]: r["tokenized"] for r in pieces.tokenize(df, {"en": model}).collect()}
+    assert out[1].split(" ")[0] == "▁the" and out[2] is None and out[3] is None and out[4] is None and out[5] == ""
+    every = {r["doc_id"]: r["tokenized"] for r in pieces.tokenize(df, {"en": model, "*": model}, plain=False).collect()}
+    assert every[2] and every[3] == "▁x" and every[1].startswith("▁The")
+
+
+def test_language_restriction(spark):
+    rows = [("the garden of the house and the river", "en")] * 3 + [("der garten und das haus an dem fluss", "de")] * 3
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)] + [(9, "", "de"), (10, "12", None)], "doc_id bigint, text string, lang string")
+    out = {r["doc_id"]: (r["language"], r["language_score"]) for r in lid.with_language(df.withColumn("language", F.col("lang")), lid.train(df), "text", 0.5, "de").collect()}
+    assert out[0] == ("en", None) and out[4] == ("de", 1.0) and 9 not in out and 10 not in out
 
 
 def test_sampling_by_perplexity(spark):
@@ -238,7 +290,7 @@ def test_pipeline_runs_every_step(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, raw_content string, shard int")
     model = docs.withColumn("lang", F.lit("en")).withColumn("text", F.col("raw_content"))
     cut = spark.createDataFrame([(30, 1.0), (60, 1e9)], "pct int, en double")
-    run = Pipeline(Config(min_len=10), lid.train(model), lm.vocabulary(model), cut)
+    run = Pipeline(Config(min_len=10), lid.train(model), lm.unigram_model(lm.vocabulary(model)), cut)
     out = run.run(docs).collect()
     # digits are 0 for comparing, so all lines are duplicates of another document's
     assert out == []
