@@ -39,7 +39,7 @@ _KINDS = {"c": CONTENT, "p": CONTENT, "m": MASK, "l": LABEL, "t": TAIL, "w": WOR
 #: Share of teasers among the lines that follow a heading of teasers.
 TEASERS = 0.55
 #: Pages of a host that go through one task with a copy of its tree; a larger host has more copies.
-PAGES = 20_000
+PAGES = 2_000
 
 #: Hosts of several copies up to which their list is broadcast (their names, some 100 bytes each); beyond, it is joined by a shuffle.
 BROADCAST_HOSTS = 100_000
@@ -48,6 +48,9 @@ BROADCAST_HOSTS = 100_000
 PROSE = 130
 
 _DIGITS = re.compile(r"\d+")
+_OTHERS = re.compile(r"[\W_]+")
+#: The same for texts of ASCII only, which are looked up faster.
+_ASCII = {i: None for i in range(128) if not chr(i).isalnum()}
 _END = re.compile(r"[.!?。！？؟…][\"”»“’'«)\]]*$")
 _LABEL = re.compile(r"^\W*((?:[^\W_]+[ '\-]?){1,3})\s?[:：]\s?\S")
 _PARTS = re.compile(r"\s+[|»>›/·•–—-]\s+|\s{2,}|\s*[|»›·•]\s*|\t")
@@ -58,7 +61,8 @@ _HAN = re.compile(r"[㐀-鿿]")
 
 def key(text: str) -> str:
     """A line in lower case, digit runs as 0, without all but letters and digits."""
-    return "".join(filter(str.isalnum, _DIGITS.sub("0", text.lower())))
+    text = _DIGITS.sub("0", text.lower())
+    return text.translate(_ASCII) if text.isascii() else _OTHERS.sub("", text)
 
 
 class Line:
@@ -175,8 +179,12 @@ def template_lines(text: str, title: str | None, known: dict[str, bool]) -> list
     return out
 
 
-def _hash(host: str, node: str) -> int:
-    return xxhash.xxh64_intdigest(f"{host}\0{node}") - (1 << 63)
+def _seed(host: str) -> int:
+    return xxhash.xxh64_intdigest(host)
+
+
+def _hash(seed: int, node: str) -> int:
+    return xxhash.xxh64_intdigest(node, seed) - (1 << 63)
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -189,26 +197,42 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            cols: list[list] = [[] for _ in range(9)]
+            hosts, copies, ends = [], [], [0]
+            node, kind, content, times, first, follows, teases = flat = [[] for _ in range(7)]
             for host, title, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                copy = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
-                cols[0].append(host)
-                cols[1].append(copy)
-                found, below, times = page_nodes(text, title)
-                codes = {n: _hash(host, n) for n in found}
-                # per row: node, kind, content below it, its lines, whether it is the node's first row of the page, and with that what follows
-                rows = [(codes[n], CONTENT, 0, times[n], 1, *x) for n, x in found.items() if n[0] in "cp"]
+                hosts.append(host)
+                copies.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63))
+                found, below, often = page_nodes(text, title)
+                seed = _seed(host)
+                codes = {n: _hash(seed, n) for n in found}
+                # a row is a node, its kind, the content below it, its lines, whether it is the node's first row of the page, and with that what follows
+                for n, (a, z) in found.items():
+                    if n[0] in "cp":
+                        node.append(codes[n])
+                        kind.append(CONTENT)
+                        content.append(0)
+                        times.append(often[n])
+                        first.append(1)
+                        follows.append(a)
+                        teases.append(z)
                 seen: set[str] = set()
                 for n, c in below:
-                    first = n not in seen
+                    new = n not in seen
                     seen.add(n)
+                    a, z = found[n] if new else (0, 0)
+                    node.append(codes[n])
+                    kind.append(_KINDS[n[0]])
                     # 32 bits of the content's code tell the contents of one node apart
-                    rows.append((codes[n], _KINDS[n[0]], (codes[c] >> 32) or 1, 1, int(first), *(found[n] if first else (0, 0))))
-                for col, values in zip(cols[2:], zip(*rows, strict=True) if rows else [()] * 7, strict=True):
-                    col.append(values)
-            ints, bytes_ = pa.list_(pa.int32()), pa.list_(pa.int8())
-            kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), bytes_, ints, ints, bytes_, ints, ints)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "copy", "nodes", "kind", "content", "times", "first", "follows", "teases"])
+                    content.append((codes[c] >> 32) or 1)
+                    times.append(1)
+                    first.append(int(new))
+                    follows.append(a)
+                    teases.append(z)
+                ends.append(len(node))
+            offsets = pa.array(ends, pa.int32())
+            kinds = (pa.int64(), pa.int8(), pa.int32(), pa.int32(), pa.int8(), pa.int32(), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, k)) for x, k in zip(flat, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(copies, pa.int64()), *lists], ["host", "copy", "nodes", "kind", "content", "times", "first", "follows", "teases"])
 
     found = pages.select("host", "title", "text").mapInArrow(
         run,
@@ -288,13 +312,21 @@ class _Known:
     """The unimportant nodes of a host, asked by name."""
 
     def __init__(self, host: str, nodes: dict[int, bool]):
-        self.host, self.nodes = host, nodes
+        self.seed, self.nodes, self.asked = _seed(host), nodes, {}
+
+    def _code(self, node: str) -> int:
+        found = self.asked.get(node)
+        if found is None:
+            if len(self.asked) > 100_000:
+                self.asked.clear()
+            found = self.asked[node] = _hash(self.seed, node)
+        return found
 
     def __contains__(self, node: str) -> bool:
-        return _hash(self.host, node) in self.nodes
+        return self._code(node) in self.nodes
 
     def get(self, node: str, default: bool = False) -> bool:
-        return self.nodes.get(_hash(self.host, node), default)
+        return self.nodes.get(self._code(node), default)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
