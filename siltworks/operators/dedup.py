@@ -7,7 +7,9 @@ positions, one short array per document, come back to them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,6 +41,17 @@ def merge_hashes(parts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return parts.groupBy(*by, "hash").agg(F.sum("n_docs").alias("n_docs"))
 
 
+def save_hashes(hashes: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    """Append counts of hashes to a table, a folder for each value of ``by`` (e.g. a shard)."""
+    hashes.write.mode("append").partitionBy(*by).option("compression", "zstd").parquet(path)
+
+
+def load_hashes(spark: SparkSession, *paths: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Saved counts of one or more tables, merged."""
+    parts = [spark.read.parquet(p).select(*by, "hash", "n_docs") for p in paths]
+    return merge_hashes(reduce(DataFrame.union, parts), by)
+
+
 def duplicate_hashes(hashes: DataFrame) -> DataFrame:
     return hashes.filter("n_docs >= 2").drop("n_docs")
 

@@ -71,7 +71,7 @@ def paragraphs(docs: DataFrame, meta: DataFrame) -> DataFrame:
     pieces = meta.select("cc_segment", "digest", F.explode(F.arrays_zip("line_ids", "languages", "lm_scores")).alias("p"))
     joined = docs.select("cc_segment", "digest", F.split("raw_content", "\n").alias("lines")).join(pieces, ["cc_segment", "digest"])
     inside = joined.filter((F.col("p.line_ids") >= 0) & (F.col("p.line_ids") < F.size("lines")))
-    return inside.select("cc_segment", "digest", F.col("p.languages").alias("language"), F.element_at("lines", F.col("p.line_ids") + 1).alias("text"), F.col("p.lm_scores").alias("lm_score"))
+    return inside.select("cc_segment", "digest", F.col("p.languages").alias("language"), F.get("lines", F.col("p.line_ids")).alias("text"), F.col("p.lm_scores").alias("lm_score"))
 
 
 #: Languages with more text than the rest, taken from the latest snapshot only (fixed value).

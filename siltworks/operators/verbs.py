@@ -1,11 +1,14 @@
-"""Query verbs over JSON-lines documents: select, where, merge, split, drop, and the pipeline's filters."""
+"""Query verbs over JSON-lines documents: select, where, merge, split, drop, sorting, plain functions, and the pipeline's filters."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltworks.functions.text import escape_newlines
 
@@ -48,18 +51,74 @@ _TYPES = {"f": "double", "i": "bigint", "b": "boolean", "s": "string"}
 
 
 def merge(lines: DataFrame, columns: list[str], separator: str = "\t", line: str = "line") -> DataFrame:
-    """Fields from separated text: ``name%type`` with f, i, b or s (default s); a bad value is null. ``_`` is a JSON text whose
-    schema follows as ``_%struct``."""
+    """Fields from separated text: ``name%type`` with f, i, b or s (default s); a bad value is null.
+
+    ``_`` is a JSON object, whose schema follows as in ``_%a int, b string``: its fields join the row, and those of the same name before it. Without a
+    schema it stays a map from names to texts, ``merged``.
+    """
     parts = F.split(lines[line], re.escape(separator))
-    out = []
+    out: dict[str, Column] = {}
     for i, spec in enumerate(columns):
         name, _, kind = spec.partition("%")
         value = F.get(parts, F.lit(i))
-        if name == "_":
-            out.append(F.from_json(value, kind or "map<string,string>").alias("merged"))
+        if name != "_":
+            out[name] = value.try_cast(_TYPES[kind or "s"])
+        elif not kind:
+            out["merged"] = F.from_json(value, "map<string,string>")
         else:
-            out.append(value.try_cast(_TYPES[kind or "s"]).alias(name))
-    return lines.select(*out)
+            parsed = F.from_json(value, kind)
+            out |= {field.name: parsed[field.name] for field in T._parse_datatype_string(kind).fields}
+    return lines.select(*[c.alias(name) for name, c in out.items()])
+
+
+def map_documents(df: DataFrame, fn: Callable[[dict], dict | None], schema: str) -> DataFrame:
+    """``fn`` of every document as a dictionary, an Arrow batch at a time; None drops it. What has no expression goes here."""
+    return map_stream(df, lambda docs: (x for x in map(fn, docs) if x is not None), schema)
+
+
+def map_stream(df: DataFrame, fn: Callable[[Iterator[dict]], Iterable[dict]], schema: str) -> DataFrame:
+    """``fn`` from the documents of a partition to any number of documents, as a stream."""
+    fields = T._parse_datatype_string(schema)
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow, rows = to_arrow_schema(fields), []
+        for doc in fn(x for b in batches for x in b.to_pylist()):
+            rows.append({name: doc.get(name) for name in arrow.names})
+            if len(rows) >= 5_000:
+                yield pa.RecordBatch.from_pylist(rows, arrow)
+                rows = []
+        yield pa.RecordBatch.from_pylist(rows, arrow)
+
+    return df.mapInArrow(run, fields)
+
+
+def sorted_head(df: DataFrame, column: str, n: int, descending: bool = False, numeric: bool = True) -> DataFrame:
+    """The first ``n`` documents by a column read as a number (or as it is): a limit on a sort, which keeps ``n`` rows a task."""
+    value = df[column].try_cast("double") if numeric else df[column]
+    others = [c for c in df.columns if c != column]
+    return df.orderBy(value.desc_nulls_last() if descending else value.asc_nulls_last(), *others).limit(n)
+
+
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``row``, from 0 in the given order: a sort by ranges, of which only the sizes come together."""
+    from siltworks.session import materialize
+
+    ranged = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("at", 33)
+    sizes = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()  # a row a partition
+    starts, total = {}, 0
+    for r in sizes:
+        starts[r["part"]], total = total, total + r["n"]
+    before = df.sparkSession.createDataFrame(list(starts.items()) or [(0, 0)], "part bigint, before bigint")
+    rows = ranged.withColumn("part", part).join(F.broadcast(before), "part")
+    return rows.withColumn("row", F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("part", "before", "at")
+
+
+def grouped(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """``df`` with ``group``: every ``n`` consecutive rows in the given order are one."""
+    return numbered(df, *order).withColumn("group", F.floor(F.col("row") / n)).drop("row")
 
 
 def drop_keys(df: DataFrame, *keys: str) -> DataFrame:

@@ -1,14 +1,20 @@
-"""Command line: query verbs over JSON lines, in stages separated by ``--``, and ``mine``.
+"""Command line: query verbs over JSON lines, in stages separated by ``--``, and jobs.
 
     python -m siltworks.plans.cli -f docs.json -o out where "length({text}) > 100" -- select text
+    python -m siltworks.plans.cli mine --config test --manifest wet.paths --root data --train labelled.json
+    python -m siltworks.plans.cli regroup --config test
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 import sys
+from pathlib import Path
 
 from siltworks.operators import describe, verbs
+from siltworks.plans import jobs
+from siltworks.plans.config import PRESETS, Config
 from siltworks.session import build_session
 from siltworks.sources import readers, sinks
 
@@ -38,18 +44,64 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("columns", nargs="+")
     m.add_argument("--separator", default="\t")
     d = sub.add_parser("describe")
-    d.add_argument("columns", nargs="+")
+    d.add_argument("columns", nargs="*")
+    d.add_argument("--weights")
+    d.add_argument("--bins", default="auto")
+    d.add_argument("--cumulative", action="store_true")
+    t = sub.add_parser("sort")
+    t.add_argument("column")
+    t.add_argument("-n", type=int, default=10)
     x = sub.add_parser("split")
     x.add_argument("pattern")
     h = sub.add_parser("shard")
     h.add_argument("count", type=int)
+    for name in ("hashes", "mine", "regroup", "dl", "minify", "fetch", "paragraphs", "opening"):
+        j = sub.add_parser(name)
+        j.add_argument("--config", default="base", help="a preset, or a file of settings")
+        j.add_argument("--manifest", help="names of WET files, a line each")
+        j.add_argument("--root", default="", help="where those files lie")
+        j.add_argument("--train", help="labelled documents (language, raw_content) for the models")
+        j.add_argument("--order", type=int, default=1)
+        j.add_argument("--pieces", help="model of pieces for the sp step")
+        j.add_argument("--shard", type=int, default=0)
+        j.add_argument("--metadata")
+        j.add_argument("--snapshot", default="")
+        j.add_argument("--latest", default="")
+        j.add_argument("--n-docs", type=int)
     return p
 
 
+def run_job(spark, a: argparse.Namespace) -> None:
+    config = Config.from_json(a.config) if Path(a.config).is_file() else PRESETS[a.config]
+    if a.verb == "regroup":
+        jobs.regroup(spark, config)
+    elif a.verb == "dl":
+        jobs.export_shard(spark, config, a.manifest, a.shard, a.output, a.root)
+    elif a.verb == "minify":
+        jobs.minify(spark, a.file, a.output)
+    elif a.verb == "opening":
+        jobs.opening(spark, a.file, a.output, a.n_docs)
+    else:
+        docs = jobs.documents(spark, config, a.manifest, a.root)
+        if a.verb == "hashes":
+            jobs.hashes(spark, config, docs)
+        elif a.verb == "fetch":
+            jobs.fetch(spark, docs, a.metadata or config.metadata, a.output)
+        elif a.verb == "paragraphs":
+            jobs.paragraphs(spark, docs, a.metadata, a.output, a.snapshot, a.latest)
+        else:
+            models = {}
+            if a.train:
+                models = jobs.train(spark, config, readers.read_jsonl(spark, a.train, None), a.order, {"*": a.pieces} if a.pieces else None)
+            print(json.dumps(jobs.mine(spark, config, docs, models)))
+
+
 def main(argv: list[str] | None = None) -> None:
     parts = [parser().parse_args(a) for a in stages(argv if argv is not None else sys.argv[1:])]
     spark = build_session()
     first, last = parts[0], parts[-1]
+    if first.verb in ("hashes", "mine", "regroup", "dl", "minify", "fetch", "paragraphs", "opening"):
+        return run_job(spark, first)
     df = readers.read_lines(spark, first.file).select("value") if first.verb == "merge" else readers.read_jsonl(spark, first.file, None)
     for a in parts:
         if a.verb == "select":
@@ -59,7 +111,9 @@ def main(argv: list[str] | None = None) -> None:
         elif a.verb == "merge":
             df = verbs.merge(df, a.columns, a.separator, df.columns[0])
         elif a.verb == "describe":
-            df = describe.presence(df, a.columns)
+            df = describe.describe(df, a.columns or None, a.weights, describe.parse_bins(a.bins), a.cumulative)
+        elif a.verb == "sort":
+            df = verbs.sorted_head(df, a.column, a.n)
         elif a.verb == "split":
             if not last.output:
                 df = verbs.split_counts(df, a.pattern)

@@ -6,12 +6,18 @@ import json
 from dataclasses import dataclass, fields, replace
 from pathlib import Path
 
+BY_SEGMENT = ("dedup", "lid", "keep_lang", "sp", "lm", "pp_bucket", "minify", "split_by_segment")
 DEFAULT_PIPELINE = ("dedup", "lid", "keep_lang", "sp", "lm", "pp_bucket", "drop", "split_by_lang")
 
 
 @dataclass(frozen=True)
 class Config:
-    """``num_shards`` slices the manifest, ``hash_in_mem`` shards share hashes (0: all), ``pipeline`` lists steps in order."""
+    """Settings of a run.
+
+    ``num_shards`` slices the manifest, ``num_segments_per_shard`` bounds a slice (negative: all); ``hash_in_mem`` shards share hashes (0: all);
+    ``pipeline`` lists steps in order; ``metadata`` is the folder that ``fetch_metadata`` joins, ``cutoff`` a table of percentiles; files of
+    ``target_size`` come out of regrouping, after which the input goes if ``cleanup_after_regroup``.
+    """
 
     config_name: str = "base"
     dump: str = "2017-51"
@@ -31,7 +37,6 @@ class Config:
     target_size: str = "4G"
     cleanup_after_regroup: bool = True
     pipeline: tuple[str, ...] = DEFAULT_PIPELINE
-    experiments: tuple[str, ...] = ()
 
     @classmethod
     def from_json(cls, path: str | Path) -> Config:
@@ -41,21 +46,20 @@ class Config:
         known = {f.name for f in fields(cls)}
         return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in given.items() if k in known})
 
-    @property
-    def will_split(self) -> bool:
-        return bool({"split_by_lang", "split_by_segment"} & set(self.pipeline))
-
-    def model_languages(self, available: list[str]) -> list[str]:
-        """Explicit languages, else the whitelist, else all available but the blacklist."""
+    def wants_model(self, language: str) -> bool:
+        """Whether documents of a language are to be scored by a language model."""
         if self.lm_languages is not None:
-            return list(self.lm_languages)
-        return list(self.lang_whitelist) or [x for x in available if x not in self.lang_blacklist]
+            return language in self.lm_languages
+        if self.lang_whitelist:
+            return language in self.lang_whitelist
+        return language not in self.lang_blacklist
 
-    def mined_path(self, regroup: bool = False) -> str:
-        name = f"{self.mined_dir}_split" if self.will_split and not regroup else self.mined_dir
-        return f"{self.output_dir}/{name}/{self.dump}"
+    def folder(self, stage: str = "") -> str:
+        """Where a stage of the run keeps its files (``hashes``, ``split``, ``models``); without one, its result."""
+        return "/".join([self.output_dir, f"{self.mined_dir}.{stage}" if stage else self.mined_dir, self.dump])
 
 
+#: The presets below have the values of the surveyed toolkit (fixed values).
 BASE = Config()
 TEST = replace(
     BASE,
@@ -84,6 +88,8 @@ PRESETS = {
         keep_bucket=("head", "all"),
     ),
     "augment": replace(BASE, config_name="augment", dump="2019-13", lang_blacklist=("en",)),
-    "lid_exp": replace(BASE, config_name="lid_exp", mined_dir="lid_exp", pipeline=("lid_before_dedup", "dedup", "lid_after_dedup")),
-    "mine_segment": replace(BASE, config_name="mine_segment", mined_dir="mine_segment", pipeline=("dedup", "lid", "keep_lang", "sp", "lm", "pp_bucket", "drop", "minify", "split_by_segment")),
+    "test_segment": replace(TEST, config_name="test_segment", mined_dir="mined_by_segment", pipeline=BY_SEGMENT),
+    "test_reproduce": replace(TEST, config_name="test_reproduce", mined_dir="reproduce", metadata="test_data/mined_by_segment/2019-09", lang_whitelist=(), pipeline=("fetch_metadata", "split_by_lang")),
+    "lid_exp": replace(BASE, config_name="lid_exp", dump="2019-09", mined_dir="lid_exp", pipeline=("lid_before_dedup", "dedup", "lid_after_dedup")),
+    "mine_segment": replace(BASE, config_name="mine_segment", dump="2019-09", mined_dir="mini_by_segment", pipeline=BY_SEGMENT),
 }

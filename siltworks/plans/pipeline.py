@@ -27,7 +27,7 @@ class Pipeline:
 
     ``lid_model`` from ``lid.train``; ``model`` from ``lm.vocabulary`` (words, scored in the row) or an ``lm.NgramModel`` (over ``tokenized``);
     ``cutoffs`` a table of percentiles; ``meta`` metadata rows; ``piece_models`` files of pieces by language (``*`` for all others), without which the
-    ``sp`` step cuts words. Each step is ``DataFrame -> DataFrame``, so Catalyst sees one plan. ``counters`` are filled when the result
+    ``sp`` step cuts words; ``hashes`` (shard, hash, n_docs) saved before, without which ``dedup`` counts those of the documents given. Each step is ``DataFrame -> DataFrame``, so Catalyst sees one plan. ``counters`` are filled when the result
     is written: rows after each step.
     """
 
@@ -39,8 +39,10 @@ class Pipeline:
         cutoffs: DataFrame | None = None,
         meta: DataFrame | None = None,
         piece_models: dict[str, str] | None = None,
+        hashes: DataFrame | None = None,
     ):
         self.config, self.lid_model, self.model, self.cutoffs, self.meta, self.piece_models = config, lid_model, model, cutoffs, meta, piece_models or {}
+        self.hashes = hashes
         self.observed: dict[str, Observation] = {}
 
     def steps(self) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
@@ -76,7 +78,7 @@ class Pipeline:
         return {name: dict(o.get) for name, o in self.observed.items()}
 
     def write(self, docs: DataFrame, path: str | None = None) -> None:
-        out, path = self.run(docs), path or self.config.mined_path()
+        out, path = self.run(docs), path or self.config.folder()
         if "split_by_lang" in self.config.pipeline:
             has_bucket = "bucket" in out.columns
             sinks.write_split(out, path, "{language}_{bucket}" if has_bucket else "{language}")
@@ -89,7 +91,12 @@ class Pipeline:
         per = self.config.hash_in_mem
         scope = dedup.shard_scope(F.col("shard"), per) if per else F.lit(0)
         lines = dedup.documents_with_lines(df.withColumn("scope", scope), "doc_id", "raw_content", ("scope",))
-        kept = dedup.two_pass_lines(lines, ("scope",))
+        if self.hashes is None:
+            kept = dedup.two_pass_lines(lines, ("scope",))
+        else:
+            known = self.hashes.withColumn("scope", dedup.shard_scope(F.col("shard"), per) if per else F.lit(0))
+            twice = dedup.duplicate_hashes(dedup.merge_hashes(known, ("scope",)))
+            kept = dedup.first_in_document(lines).join(twice, ["scope", "hash"], "left_anti")
         others = tuple(c for c in df.columns if c not in ("doc_id", "raw_content", "nlines", "length", "original_nlines", "original_length", "line_ids"))
         return dedup.rebuild(df, kept, "doc_id", "raw_content", columns=others)
 
@@ -99,7 +106,13 @@ class Pipeline:
         return df.withColumn("tokenized", F.array_join(lm.words(F.col("raw_content")), " "))
 
     def _lm(self, df: DataFrame) -> DataFrame:
-        allowed = F.lit(True) if self.config.lm_languages is None else F.coalesce(F.col("language").isin(*self.config.lm_languages), F.lit(False))
+        config = self.config
+        wanted, not_wanted = config.lm_languages if config.lm_languages is not None else config.lang_whitelist, config.lang_blacklist
+        allowed = F.lit(True)
+        if config.lm_languages is not None or wanted:
+            allowed = F.coalesce(F.col("language").isin(*wanted), F.lit(False))
+        elif not_wanted:
+            allowed = ~F.coalesce(F.col("language").isin(*not_wanted), F.lit(False))
         if isinstance(self.model, lm.NgramModel):
             df = materialize(df, "lm")
             tokens = F.filter(F.split("tokenized", " "), lambda w: w != "")

@@ -321,7 +321,7 @@ def split_counts(spark, d):
     return verbs.split_counts(mined(spark, d), "{language}_{bucket}")
 
 
-@query("SELECT regexp_replace(regexp_extract(cc_segment, '[^/]*$', 0), '\\.warc\\.wet\\.gz$', '.json.gz') AS file, count(*) AS docs FROM mined_docs GROUP BY ALL")
+@query("SELECT regexp_replace(regexp_extract(cc_segment, '[^/]*$', 0), '\\.warc\\.wet(\\.gz)?$', '.json.gz') AS file, count(*) AS docs FROM mined_docs GROUP BY ALL")
 def split_by_segment(spark, d):
     return mined(spark, d).groupBy(sinks.segment_file(F.col("cc_segment")).alias("file")).agg(F.count("*").alias("docs"))
 

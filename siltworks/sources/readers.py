@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +49,17 @@ def read_jsonl(spark: SparkSession, paths: str | list[str], schema: T.StructType
     return reader.json(paths)
 
 
+def read_jsonl_counted(spark: SparkSession, paths: str | list[str], schema: T.StructType = DOCUMENT) -> tuple[DataFrame, Observation]:
+    """``read_jsonl`` in one pass with counts: after an action the observation holds ``lines``, ``empty`` and ``bad`` ones."""
+    lines = spark.read.text(paths)
+    parsed = lines.select("value", F.from_json("value", T.StructType([*schema.fields, T.StructField("bad", T.StringType())]), {"columnNameOfCorruptRecord": "bad"}).alias("doc"))
+    empty = F.trim("value") == ""
+    bad = ~empty & (F.col("doc").isNull() | F.col("doc.bad").isNotNull())
+    seen = Observation()
+    counted = parsed.observe(seen, F.count("*").alias("lines"), F.count_if(empty).alias("empty"), F.count_if(bad).alias("bad"))
+    return counted.filter(~empty & ~bad).select("doc.*").drop("bad"), seen
+
+
 def bad_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``value, file``: lines that are neither empty nor JSON objects."""
     lines = read_lines(spark, paths).filter(F.trim("value") != "")
@@ -107,6 +118,30 @@ def shard_segments(segments: list[str], shard: int, num_shards: int, limit: int
     return own if limit < 0 else own[:limit]
 
 
+def read_shards(
+    spark: SparkSession, manifest: list[str], num_shards: int, shards: list[int] | None = None, limit: int = -1, min_len: int = 300, root: str = ""
+) -> DataFrame:
+    """Documents of some shards (all by default) of a manifest of WET files: those of ``read_wet`` with ``shard`` and the manifest's name as ``cc_segment``.
+
+    Only the files of these shards are opened, at most ``limit`` of each; names are taken below ``root``. A manifest has a name a file.
+    """
+    names = [(name, s) for s in (range(num_shards) if shards is None else shards) for name in shard_segments(manifest, s, num_shards, limit)]
+    keys = {name.rsplit("/", 1)[-1]: (name, s) for name, s in names}
+    if len(keys) < len(names):
+        raise ValueError("two segments of one file name")
+    if not names:
+        return spark.createDataFrame([], DOCUMENT).withColumn("shard", F.lit(0)).limit(0)
+    docs = read_wet(spark, [f"{root}/{n}" if root else n for n, _ in names], min_len)
+    known = spark.createDataFrame([(k, *v) for k, v in keys.items()], "file string, segment string, shard int")
+    joined = docs.withColumn("file", F.substring_index("cc_segment", "/", -1)).join(F.broadcast(known), "file")  # a row a file
+    return joined.withColumn("cc_segment", F.col("segment")).drop("file", "segment")
+
+
+def read_manifest(spark: SparkSession, path: str) -> list[str]:
+    """Names of a manifest, a line each."""
+    return [r["value"].strip() for r in spark.read.text(path).filter("trim(value) <> ''").collect()]
+
+
 def assign_shards(manifest: DataFrame, name: str, num_shards: int) -> DataFrame:
     """``name, shard``: the consecutive slice of the sorted manifest to which each segment belongs, as ``shard_segments`` cuts it.
 

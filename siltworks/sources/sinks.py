@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siltworks.functions.hashing import line_hash
 from siltworks.operators.verbs import split_name
+from siltworks.session import materialize, scratch
 
 
 def parse_size(text: str) -> int:
@@ -43,12 +45,14 @@ def write_split(df: DataFrame, path: str, pattern: str = "{language}_{bucket}",
 
 
 def segment_file(segment: Column) -> Column:
-    """Output name of a segment: base name with ``.json.gz`` for ``.warc.wet.gz``."""
-    return F.regexp_replace(F.substring_index(segment, "/", -1), r"\.warc\.wet\.gz$", ".json.gz")
+    """Output name of a segment: base name with ``.json.gz`` for ``.warc.wet`` or ``.warc.wet.gz``."""
+    return F.regexp_replace(F.substring_index(segment, "/", -1), r"\.warc\.wet(\.gz)?$", ".json.gz")
 
 
 def write_by_segment(df: DataFrame, path: str, segment: str = "cc_segment") -> None:
-    df.withColumn("file", segment_file(df[segment])).filter("file <> ''").write.partitionBy("file").option("compression", "gzip").json(path)
+    """One folder per segment with one file: a segment is one archive file, so a task holds no more than that."""
+    named = df.withColumn("file", segment_file(df[segment])).filter("file <> ''")
+    named.repartition("file").write.partitionBy("file").option("compression", "gzip").json(path)
 
 
 def write_text_by_language(df: DataFrame, path: str) -> None:
@@ -71,6 +75,107 @@ def size_groups(files: DataFrame, target: int, by: str = "prefix", first: int =
     return grouped.withColumn("offset", F.coalesce(F.sum("size").over(own), F.lit(0)))
 
 
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Paths and sizes of the data files below a folder, sorted."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    found, each = [], system.listFiles(root, True)
+    while each.hasNext():
+        f = each.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            found.append((f.getPath().toString(), f.getLen()))
+    return sorted(found)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file, unless the target is there already."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    a, b = hadoop.Path(source), hadoop.Path(target)
+    system = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(b.getParent())
+    return not system.exists(b) and system.rename(a, b)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def write_numbered(df: DataFrame, pattern: str, max_size: str = "4G", compression: str = "gzip") -> list[str]:
+    """JSON lines in files named by a pattern in which ``?`` are digits, e.g. ``out/a_????.json.gz``; the names in order.
+
+    There are as many files as the text needs at ``max_size`` characters each, and no more than the pattern has numbers.
+    """
+    spark = df.sparkSession
+    digits = pattern.count("?")
+    if not 0 < digits < 8 or "?" * digits not in pattern:
+        raise ValueError(f"one run of 1 to 7 question marks: {pattern}")
+    whole = materialize(df, "numbered")
+    size = whole.select(F.coalesce(F.sum(F.length(F.to_json(F.struct("*"))) + 1), F.lit(0))).first()[0]
+    files = min(max(1, -(-size // parse_size(max_size))), 10**digits)
+    path = scratch(spark, "numbered-files")
+    write_jsonl(whole.repartition(files) if files > 1 else whole.coalesce(1), path, compression)
+    names = []
+    for i, (f, _) in enumerate(_files(spark, path)):
+        names.append(pattern.replace("?" * digits, f"{i:0{digits}}"))
+        _move(spark, f, names[-1])
+    return names
+
+
+def regroup_splits(spark: SparkSession, source: str, target: str, size: str = "4G", cleanup: bool = False) -> DataFrame:
+    """Compact every split of ``write_split`` into files ``{split}_{number}.json.gz`` of about ``size``; ``split, name, size, grp`` of the inputs.
+
+    Consecutive files make a group, in whose order the lines stay; a group is written by one task. With ``cleanup`` the input goes.
+    """
+    found = [(re.search(r"/split=([^/]+)/", p)[1], p, n) for p, n in _files(spark, source)]
+    groups = size_groups(spark.createDataFrame(found, "prefix string, name string, size bigint"), parse_size(size))
+    groups = materialize(groups.select(F.col("prefix").alias("split"), "name", "size", "grp"), "regroup")
+    if not found:
+        return groups
+    lines = spark.read.text([p for _, p, _ in found]).select("value", F.col("_metadata.file_path").alias("name"), F.monotonically_increasing_id().alias("at"))
+    n = groups.select("split", "grp").distinct().count()
+    rows = lines.join(F.broadcast(groups.select("split", "name", "grp")), "name")  # a row a file
+    rows = rows.repartition(n, "split", "grp").sortWithinPartitions("split", "grp", "name", "at")
+    path = scratch(spark, "regrouped")
+    rows.select("value", "split", "grp").write.partitionBy("split", "grp").option("compression", "gzip").text(path)
+    for f, _ in _files(spark, path):
+        split, grp = re.search(r"/split=([^/]+)/grp=(\d+)/", f).groups()
+        _move(spark, f, f"{target}/{split}_{int(grp):04}.json.gz")
+    if cleanup:
+        remove(spark, source)
+    return groups
+
+
+def move_segments(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Move what ``write_by_segment`` wrote to ``{target}/{segment file}``, numbered where a segment has several; what is there already stays."""
+    moved, seen = [], {}
+    for p, _ in _files(spark, source):
+        name = re.search(r"/file=([^/]+)/", p)[1]
+        seen[name] = seen.get(name, -1) + 1
+        to = f"{target}/{name}" if not seen[name] else f"{target}/{seen[name]:04}-{name}"
+        if _move(spark, p, to):
+            moved.append(to)
+    return moved
+
+
+def dump_perplexities(df: DataFrame, path: str) -> None:
+    """All perplexities as 4-byte floats."""
+    df.select(F.col("perplexity").cast("float").alias("perplexity")).filter("perplexity is not null").write.parquet(path)
+
+
+def dump_line_hashes(df: DataFrame, path: str, text: str = "raw_content") -> None:
+    """The hash of every line, once for each time it stands in the texts."""
+    df.select(F.explode(F.transform(F.split(df[text], "\n"), line_hash)).alias("hash")).write.parquet(path)
+
+
 def regroup(spark: SparkSession, source: str, target: str, files: int, key: list[str] | None = None) -> None:
     """Compact JSON lines into ``files`` files; with ``key`` in its order over all files."""
     df = spark.read.json(source)

@@ -277,9 +277,8 @@ def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text('// note\n{"dump": "2019-09", "lang_whitelist": ["fr"], "execution": "local"}')
     conf = Config.from_json(path)
-    assert conf.dump == "2019-09" and conf.model_languages(["de"]) == ["fr"] and conf.will_split
-    assert conf.mined_path() == "data/mined_split/2019-09" and conf.mined_path(True) == "data/mined/2019-09"
-    assert PRESETS["augment"].model_languages(["en", "fr"]) == ["fr"]
+    assert conf.dump == "2019-09" and not conf.wants_model("de") and conf.wants_model("fr")
+    assert conf.folder("split") == "data/mined.split/2019-09" and conf.folder() == "data/mined/2019-09"
     assert stages(["a", "--", "b", "c"]) == [["a"], ["b", "c"]]
 
 
