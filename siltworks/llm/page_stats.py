@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 from functools import lru_cache
+from operator import itemgetter
 
 #: Frequent function words by language (fixed values); Chinese ones are characters.
 FUNCTION_WORDS = {
@@ -28,6 +29,9 @@ _HAN, _UNSPACED = "㐀-鿿", "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff"
 #: Marks that belong to the letter before them (Arabic, Hebrew, the scripts of India, combining accents).
 _JOINED = r"\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0670\u0900-\u0903\u093a-\u094f\u0981-\u0983\u09bc-\u09d7\u0b82\u0bbe-\u0bcd\u0c3e-\u0c56\u0d3e-\u0d4d"
 _WORD = re.compile(rf"[{_HAN}]|[{_UNSPACED}]|(?:[^\W_{_HAN}{_UNSPACED}]|[{_JOINED}])+")
+#: The same for texts without characters of the last two kinds, and for texts of ASCII only, which are faster.
+_FEWER, _PLAIN = re.compile(rf"[{_HAN}]|[^\W_{_HAN}]+"), re.compile(r"[a-zA-Z0-9]+")
+_SPECIAL = re.compile(rf"[{_UNSPACED}{_JOINED}]")
 _LINK = re.compile(r"<a\b[^>]*>|</a>|\[/?url[^\]]*\]|https?://\S+|www\.\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:example|com|net|org|info|biz|[a-z]{2})\b(?:[/:?]\S*)?", re.I)
 _MAY_LINK = re.compile(r"\w\.[a-z]|://|</?a\b|\[/?url", re.I)
 _DIGIT = re.compile(r"\d")
@@ -71,8 +75,9 @@ def page_stats(text: str | None) -> tuple[str, list[float]] | None:
     lines = [x for x in lines if x]
     # link-only lines count as lines too
     raw_lines = sum(1 for x in text.split("\n") if x.strip())
-    words = _WORD.findall(bare)
-    low = [w.lower() for w in words]
+    find = (_PLAIN if bare.isascii() else _WORD if _SPECIAL.search(bare) else _FEWER).findall
+    words = find(bare)
+    low = _lower(words)
     n = len(low)
     size = len(text)
     by_language: Counter[str] = Counter()
@@ -84,14 +89,15 @@ def page_stats(text: str | None) -> tuple[str, list[float]] | None:
     own = set(FUNCTION_WORDS.get(language, ()))
     counts = {w: c for w, c in every.items() if w not in own}
     m = max(1, sum(counts.values()))
-    top = heapq.nlargest(5, counts.items(), key=lambda x: x[1])
-    entropy = -sum(c / m * math.log(c / m) for c in counts.values()) / math.log(m) if m > 1 else 0.0
+    top = heapq.nlargest(5, counts.items(), key=itemgetter(1))
+    # -sum(c / m log(c / m)), over its most
+    entropy = 1 - sum(map(_count_log, counts.values())) / m / math.log(m) if m > 1 else 0.0
     heavy = {w for w, c in top if c >= 6 and c > HEAVY * m} if n >= 20 else set()
-    good = _prose_words(bare, lambda found, least, count: _reads(found, own, heavy, least, count))
+    good = _prose_words(bare, find, lambda found, least, count: _reads(found, own, heavy, least, count))
     function = hits / max(1, n)
     links = 1 - len(bare.replace(" ", "")) / max(1, len(text.replace(" ", "")))
     if function < LISTED and good < 0.65 * n and links < LINKED:
-        free = _unlisted_words(bare, every, n, m)
+        free = _unlisted_words(bare, find, every, n, m)
         if free >= max(FREE * n, good + GAIN * n):
             language, function, good = "und", UNLISTED_SHARE, free
     letters = sum(map(len, words))
@@ -119,10 +125,19 @@ def page_stats(text: str | None) -> tuple[str, list[float]] | None:
         len(set(pairs)) / max(1, len(pairs)),
         letters / max(1, n),
         sum(c for w, c in Counter(words).items() if _odd(w)) / max(1, n),
-        sum(1 for x in lines if len(x) < 120 and len(_COLUMNS.split(x)) > 2 and len(_WORD.findall(x)) < 16) / max(1, raw_lines),
+        sum(1 for x in lines if len(x) < 120 and len(_COLUMNS.split(x)) > 2 and len(find(x)) < 16) / max(1, raw_lines),
     ]
 
 
+def _lower(words: list[str]) -> list[str]:
+    return " ".join(words).lower().split(" ") if words else []
+
+
+@lru_cache(maxsize=10_000)
+def _count_log(c: int) -> float:
+    return c * math.log(c)
+
+
 @lru_cache(maxsize=200_000)
 def _odd(word: str) -> bool:
     if len(word) < 2 or word.isdigit():
@@ -131,8 +146,8 @@ def _odd(word: str) -> bool:
     return (digits and any(c.isalpha() for c in word)) or (word.lower() != word.upper() and not word.islower() and not word.isupper() and not word[1:].islower()) or len(word) > 30
 
 
-def _prose_words(text: str, reads) -> int:
-    """Words in stretches that read as prose: ``reads(words, least number, lines)`` says whether one does."""
+def _prose_words(text: str, find, reads) -> int:
+    """Words, as ``find`` cuts them, in stretches that read as prose: ``reads(words, least number, lines)`` says whether one does."""
     good = 0
     at = 0
     stretches = []
@@ -143,20 +158,20 @@ def _prose_words(text: str, reads) -> int:
         if ended:
             # a heading or list above a sentence is not part of it
             lines = [x for x in piece.split("\n") if x.strip()]
-            found = _WORD.findall(" ".join(lines))
+            found = find(" ".join(lines))
             if len(found) > 70 and len(lines) > 1:
-                found = _WORD.findall(lines[-1])
+                found = find(lines[-1])
             if reads(found, 5, len(lines)):
                 good += len(found)
                 continue
         for line in piece.split("\n"):
-            found = _WORD.findall(line)
+            found = find(line)
             if len(found) >= 20 and len(_MARKS.findall(line)) < 0.2 * len(found) and reads(found, 20, 1):
                 good += len(found)
     return good
 
 
-def _unlisted_words(text: str, every: Counter, n: int, m: int) -> int:
+def _unlisted_words(text: str, find, every: Counter, n: int, m: int) -> int:
     """Words in sentences by rules that know no language: for texts whose language has no list of function words.
 
     Prose of any language has short words, repeats some of them, and does not use letters at random. Whether a
@@ -183,7 +198,7 @@ def _unlisted_words(text: str, every: Counter, n: int, m: int) -> int:
         k = len(found)
         if k < least or k < 3 * lines:
             return False
-        low = [w.lower() for w in found]
+        low = _lower(found)
         if heavy and sum(w in heavy for w in low) > max(2, HEAVY * k):
             return False
         if sum(w.isdigit() or _odd(w) for w in found) > 0.2 * k:
@@ -197,15 +212,15 @@ def _unlisted_words(text: str, every: Counter, n: int, m: int) -> int:
                 return False
         return len(set(low)) >= 0.5 * k / (1 + k / 150) if spaced else len(set(low)) >= min(0.25 * k, 12)
 
-    return _prose_words(text, reads)
+    return _prose_words(text, find, reads)
 
 
 def _reads(found: list[str], own: set[str], heavy: set[str], least: int, lines: int) -> bool:
     n = len(found)
     if n < least or n < 3 * lines:
         return False
-    low = [w.lower() for w in found]
-    if heavy and sum(w in heavy for w in low) > max(2, HEAVY * n):
+    low = _lower(found)
+    if heavy and sum(map(heavy.__contains__, low)) > max(2, HEAVY * n):
         return False
     rest = [w for w in low if w not in own]
     shared = 1 - len(rest) / n
