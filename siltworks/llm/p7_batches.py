@@ -74,7 +74,7 @@ def read_records(df: DataFrame, counters: int, min_chars: int = MIN_CHARS) -> Da
     """
 
     def run(batches):
-        counts, seen = np.zeros(counters, np.int64), set()
+        counts, seen = np.zeros(counters, np.uint32), set()
         for b in batches:
             rows: list[tuple] = []
             every = [np.empty(0, np.int64)]
@@ -147,25 +147,26 @@ def packed_prefixes(texts: DataFrame, order, buckets: np.ndarray, every_part: bo
 
     def run(batches):
         for b in batches:
-            slots, ats, poss = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            slots, ats, poss = [np.empty(0, np.uint64)], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
             keys, sizes = b.column(0).to_numpy(zero_copy_only=False), np.zeros(b.num_rows, np.int64)
             for i, (key, data) in enumerate(zip(keys.tolist(), b.column(1).to_pylist(), strict=True)):
                 found = runs(np.frombuffer(data, np.uint32))
                 sizes[i] = len(found)
                 token, parts = order.value.prefix(found)
-                pos = np.arange(len(token))
+                pos = np.arange(len(token), dtype=np.int32)
                 if every_part:
                     pos = np.repeat(pos, parts)
                     part = np.arange(len(pos)) - np.repeat(np.cumsum(parts) - parts, parts)
                 else:
                     part = (key & 0x7FFFFFFF) % parts
                 slots.append(_slot(token[pos], part))
-                ats.append(np.full(len(pos), i))
+                ats.append(np.full(len(pos), i, np.int32))
                 poss.append(pos)
             slot, at, pos = (np.concatenate(x) for x in (slots, ats, poss))
-            bucket = (slot % np.uint64(len(buckets))).astype(np.int64)
-            by = np.lexsort((slot, bucket))
-            slot, at, pos, bucket = slot[by].astype(np.int64), at[by], pos[by], bucket[by]
+            del slots, ats, poss
+            bucket = (slot % np.uint64(len(buckets))).astype(np.int32)
+            by = np.lexsort((slot, bucket)).astype(np.int32)
+            slot, at, pos, bucket = slot[by].view(np.int64), at[by], pos[by], bucket[by]
             rows = []
             for lo, hi in _spans(bucket):
                 own, local = np.unique(at[lo:hi], return_inverse=True)

@@ -24,7 +24,7 @@ _FINAL = np.uint64(0xC4CEB9FE1A85EC53)
 
 class _Codes(dict):
     def __missing__(self, word):
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         found = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass"))
         return found
