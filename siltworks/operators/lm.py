@@ -118,12 +118,8 @@ def sentences(df: DataFrame, text: str = "text", language: str = "lang") -> Data
 def sentence_perplexity(found: DataFrame, model: DataFrame) -> DataFrame:
     """``lang, sentence, perplexity`` under the unigram model; -1 where a sentence has no words or its language no model."""
     rows = found.select("lang", "sentence", words(F.col("sentence")).alias("words"))
-    known = model.filter("word is not null").select("lang", "word", F.col("logp").alias("p"))
-    unknown = model.filter("word is null").select("lang", F.col("logp").alias("p0"))
-    each = rows.select("lang", "sentence", F.size("words").alias("n"), F.explode("words").alias("word"))
-    sums = each.join(F.broadcast(known), ["lang", "word"], "left").join(F.broadcast(unknown), "lang").groupBy("lang", "sentence", "n").agg(F.sum(F.coalesce("p", "p0")).alias("s"))
-    out = rows.select("lang", "sentence").join(sums, ["lang", "sentence"], "left")
-    return out.select("lang", "sentence", F.coalesce(F.round(perplexity(F.col("s"), F.col("n") + 1), 1), F.lit(-1.0)).alias("perplexity"))
+    pp = F.round(perplexity(unigram_log10(model, F.col("words"), F.col("lang")), F.size("words") + 1), 1)
+    return rows.select("lang", "sentence", F.coalesce(pp, F.lit(-1.0)).alias("perplexity"))
 
 
 def mine_sentences(scored: DataFrame, threshold: float) -> DataFrame:

@@ -102,10 +102,12 @@ def wet_documents(records: DataFrame, min_len: int = 1) -> DataFrame:
 def read_wet(spark: SparkSession, paths: str | list[str], min_len: int = 300) -> DataFrame:
     """Documents of WET files, plain or gzip, with ``cc_segment`` from the file name.
 
-    The reader cuts files at record marks, so plain files split over tasks and no task holds a whole file.
+    The reader cuts files at lines that begin with the record mark, so plain files split over tasks and no task holds a whole file; the mark
+    inside a line is text.
     """
-    rows = spark.read.option("lineSep", "WARC/1.0").text(paths)
-    rows = rows.select(F.col("value").alias("record"), F.col("_metadata.file_path").alias("cc_segment"))
+    rows = spark.read.option("lineSep", "\nWARC/1.0").text(paths)
+    record = F.regexp_replace("value", "^WARC/1\\.0", "")  # the first one of a file
+    rows = rows.select(record.alias("record"), F.col("_metadata.file_path").alias("cc_segment"))
     return wet_documents(rows.filter(F.col("record").contains("WARC-Type")), min_len)
 
 
