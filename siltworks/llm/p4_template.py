@@ -54,6 +54,7 @@ _ASCII = {i: None for i in range(128) if not chr(i).isalnum()}
 _END = re.compile(r"[.!?。！？؟…][\"”»“’'«)\]]*$")
 _LABEL = re.compile(r"^\W*((?:[^\W_]+[ '\-]?){1,3})\s?[:：]\s?\S")
 _PARTS = re.compile(r"\s+[|»>›/·•–—-]\s+|\s{2,}|\s*[|»›·•]\s*|\t")
+_MAY_PART = re.compile(r"[|»>›/·•–—\t-]|\s\s")
 _WORDS = re.compile(r"[^\W_]+")
 _CUT = re.compile(r"(?:\.\.\.|…|\[…\]|\[\.\.\.\])")
 _HAN = re.compile(r"[㐀-鿿]")
@@ -73,23 +74,25 @@ class Line:
     def __init__(self, line: str):
         text = line.strip()
         self.key = key(text)
-        if len(text) > PROSE and _END.search(text[-6:]) and not _CUT.search(text[-6:]):
+        stop = bool(_END.search(text[-6:]))
+        if len(text) > PROSE and stop and not _CUT.search(text[-6:]):
             # a paragraph: only what it says can make it part of the template
             self.cut, self.ended, self.teaser, self.size = False, True, False, 99
             self.nodes, self.parts = [], []
             return
         words = _WORDS.findall(text)
-        han = len(_HAN.findall(text))
+        han = 0 if text.isascii() else len(_HAN.findall(text))
         self.size = len(words) + han // 2
-        self.ended = bool(_END.search(text[-6:])) and not _CUT.search(text[-4:])
-        self.cut = bool(_CUT.search(text[len(text) // 3 :])) and not self.ended
+        cuts = "..." in text or "…" in text
+        self.ended = stop and not (cuts and _CUT.search(text[-4:]))
+        self.cut = cuts and not self.ended and bool(_CUT.search(text[len(text) // 3 :]))
         nodes = []
-        label = _LABEL.match(text)
+        label = _LABEL.match(text) if ":" in text or "：" in text else None
         if label:
             nodes.append("l:" + key(label.group(1)))
         if not self.ended and len(words) > 3:
             nodes.append("t:" + key(" ".join(words[-2:])) if not han else "t:" + key(text)[-4:])
-            if not han and _CUT.search(text):
+            if not han and cuts:
                 nodes.append("w:" + key(words[-1]))
         if len(words) <= 14 and not han:
             mask = [_mask(w) for w in words]
@@ -100,7 +103,7 @@ class Line:
         elif han and self.size <= 12:
             nodes.append("m:" + _DIGITS.sub("0", text)[:6])
         self.nodes = nodes
-        parts = [key(p) for p in _PARTS.split(text)] if self.size <= 60 else []
+        parts = [key(p) for p in _PARTS.split(text)] if self.size <= 60 and _MAY_PART.search(text) else []
         self.parts = [p for p in parts if p] if len(parts) > 1 else []
         #: a heading or a text that breaks off
         self.teaser = self.cut or (not self.ended and 2 <= self.size <= 16)
