@@ -110,3 +110,27 @@ def p1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_budget(token_counts(table(spark, sf_dir, "mined_docs")))
+
+
+def p1_piece_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over the rows whose pieces are there, which SQL can count too."""
+    return token_budget(token_counts(table(spark, sf_dir, "mined_docs")).filter("method = 'pieces'"))
+
+
+def _budget_sql() -> str:
+    keys = ["cc_segment", "source_domain", "language", "bucket"]
+    space = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+    rows = f"""SELECT cc_segment, nullif(regexp_replace(regexp_replace(lower(coalesce(nullif(trim(source_domain), ''),
+        regexp_extract(trim(url), '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1))), '^.*@', ''), ':\\d*$', ''), '') AS source_domain,
+      coalesce(nullif(regexp_extract(lower(trim(language)), '^([^-_]+)', 1), ''), 'und') AS language,
+      CASE WHEN lower(trim(bucket)) IN ('head', 'middle', 'tail', 'all') THEN lower(trim(bucket)) ELSE 'other' END AS bucket,
+      len(list_filter(regexp_split_to_array(tokenized, '{space}'), lambda x: x <> '')) AS n FROM mined_docs"""
+    parts = []
+    for found in SLICES:
+        columns = ", ".join(k if k in found else f"NULL::VARCHAR AS {k}" for k in keys)
+        group = f"GROUP BY {', '.join(found)}" if found else ""
+        parts.append(f"SELECT '{'+'.join(found) or 'all'}' AS slice, {columns}, count(*) AS docs, coalesce(sum(n), 0)::BIGINT AS tokens, 0::BIGINT AS estimated_tokens FROM r {group}")
+    return f"WITH every AS ({rows}), r AS (SELECT * FROM every WHERE n > 0) " + " UNION ALL ".join(parts)
+
+
+P1_PIECES_SQL = _budget_sql()

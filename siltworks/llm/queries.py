@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from siltworks.llm.p10_truncated import p10_cut_rates, p10_found
-from siltworks.llm.p1_tokens import p1_token_budget, p1_token_counts
+from siltworks.llm.p1_tokens import P1_PIECES_SQL, p1_piece_budget, p1_token_budget, p1_token_counts
 from siltworks.llm.p2_spam import p2_found
 from siltworks.llm.p3_cutoffs import P3_CUTOFFS_SQL, p3_cutoffs
 from siltworks.llm.p4_template import p4_found, p4_main_content
@@ -16,6 +16,7 @@ from siltworks.llm.p9_leaks import p9_found, p9_leak_report
 QUERIES = {
     "p1_token_counts": p1_token_counts,
     "p1_token_budget": p1_token_budget,
+    "p1_piece_budget": p1_piece_budget,
     "p2_found": p2_found,
     "p3_cutoffs": p3_cutoffs,
     "p4_found": p4_found,
@@ -34,6 +35,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "p1_piece_budget": P1_PIECES_SQL,
     "p3_cutoffs": P3_CUTOFFS_SQL,
     "p6_found": P6_FOUND_SQL,
     "p6_clean_pages": P6_CLEAN_SQL,
