@@ -76,9 +76,11 @@ def discard(df: DataFrame) -> None:
     _delete(df.sparkSession, df.written_to)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with stars."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+    return sorted(f.getPath().toString() for f in found or [])
 
 
 def _delete(spark: SparkSession, path: str) -> None:
