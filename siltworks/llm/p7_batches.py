@@ -12,6 +12,7 @@ neither tokenised again nor shuffled.
 
 from __future__ import annotations
 
+import re
 import zlib
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.common import bucketed_table, count_parts, level_counts, merged_levels
 from siltworks.llm.words import runs, word_codes
-from siltworks.session import discard, materialize, scratch, spread, table
+from siltworks.session import discard, folders, materialize, scratch, spread, table
 
 MIN_CHARS = 200
 #: Least and greatest number of counters of the frequency table, a byte each; between them it has COUNTERS_EACH a record. The
@@ -104,11 +105,14 @@ def read_records(df: DataFrame, counters: int, min_chars: int = MIN_CHARS) -> Da
 
 
 class Order:
-    """The order of runs, fixed at the start, and the counts so far, by which long lists are split; a byte a counter each."""
+    """The order of runs, fixed at the start, and the counts so far, by which long lists are split; a byte a counter each.
+
+    The length from which a list is split is fixed at the start too, so that the number of its parts never falls.
+    """
 
     def __init__(self, first: np.ndarray, now: np.ndarray):
         self.first, self.now = first, now
-        self.bound = LONG * float(level_counts(np.arange(256)) @ np.bincount(now, minlength=256)) / len(now) + LONG_LEAST
+        self.bound = LONG * float(level_counts(np.arange(256)) @ np.bincount(first, minlength=256)) / len(first) + LONG_LEAST
 
     def prefix(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The long prefix of a text's runs in their order, and into how many parts the list of each is split."""
@@ -130,11 +134,13 @@ def _narrow(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def _wide(data: bytes, m: int) -> np.ndarray:
+def _wide(data: bytes, m: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The numbers of ``_narrow``, or some of them."""
     planes = np.frombuffer(data, np.uint8).reshape(-1, m)
-    out = np.zeros((m, 8), np.uint8)
-    out[:, : len(planes)] = planes.T
-    return out.view("<u8").ravel().astype(np.int64)
+    out = planes[0][at].astype(np.int64)
+    for k, plane in enumerate(planes[1:], 1):
+        out |= plane[at].astype(np.int64) << (8 * k)
+    return out
 
 
 def packed_prefixes(texts: DataFrame, order, buckets: np.ndarray, every_part: bool) -> DataFrame:
@@ -186,32 +192,41 @@ def _spans(values: np.ndarray):
     return zip(edges[:-1], edges[1:], strict=True)
 
 
-def _unpack(m: int, slots: bytes, at: bytes, pos: bytes, keys: bytes, sizes: bytes):
-    """Slots in order, and key, size and position of each posting."""
-    keys, at = np.frombuffer(keys, np.int64), _wide(at, m)
-    return np.cumsum(_wide(slots, m)), keys[at], _wide(sizes, len(keys))[at], _wide(pos, m)
+class _Packed:
+    """A packed row, of which only the slots are unpacked until more is asked for."""
+
+    def __init__(self, m: int, slots: bytes, at: bytes, pos: bytes, keys: bytes, sizes: bytes):
+        self.m, self.at, self.pos = m, at, pos
+        self.slots = np.cumsum(_wide(slots, m))
+        self.keys = np.frombuffer(keys, np.int64)
+        self.sizes = _wide(sizes, len(self.keys))
 
+    def postings(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key, size and position of some postings."""
+        text = _wide(self.at, self.m, places)
+        return self.keys[text], self.sizes[text], _wide(self.pos, self.m, places)
 
-def _meet(asked, stored) -> np.ndarray:
+
+def _meet(asked: _Packed, stored: _Packed) -> np.ndarray:
     """Distinct pairs of keys, asked first, of postings that share a slot and leave room for a match."""
-    slot_a, key_a, n_a, pos_a = asked
-    slot_b, key_b, n_b, pos_b = stored
-    lo = np.searchsorted(slot_b, slot_a, "left")
-    count = np.searchsorted(slot_b, slot_a, "right") - lo
+    lo = np.searchsorted(stored.slots, asked.slots, "left")
+    count = np.searchsorted(stored.slots, asked.slots, "right") - lo
+    met = np.flatnonzero(count)
+    lo, count = lo[met], count[met]
     out = [np.empty((0, 2), np.int64)]
     ends = np.cumsum(count)
     # in blocks of a bounded number of pairs
     at = 0
     while at < len(count):
-        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 2_000_000, "right")))
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 1_000_000, "right")))
         c = count[at:stop]
         a = np.repeat(np.arange(at, stop), c)
         b = lo[a] + np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c)
-        x, y = n_a[a], n_b[b]
-        short_a, short_b = pos_a[a] < x - 2 * x // 3, pos_b[b] < y - 2 * y // 3
+        (key_a, x, pos_a), (key_b, y, pos_b) = asked.postings(met[a]), stored.postings(b)
+        short_a, short_b = pos_a < x - 2 * x // 3, pos_b < y - 2 * y // 3
         ok = ((x <= y) & short_a) | ((y <= x) & short_b)
-        ok &= (2 * np.minimum(x, y) > np.maximum(x, y)) & (np.minimum(x - pos_a[a], y - pos_b[b]) >= (x + y) // 3 + 1) & (key_a[a] != key_b[b])
-        out.append(np.unique(np.column_stack([key_a[a[ok]], key_b[b[ok]]]), axis=0))
+        ok &= (2 * np.minimum(x, y) > np.maximum(x, y)) & (np.minimum(x - pos_a, y - pos_b) >= (x + y) // 3 + 1) & (key_a != key_b)
+        out.append(np.unique(np.column_stack([key_a[ok], key_b[ok]]), axis=0))
         at = stop
     return np.unique(np.concatenate(out), axis=0)
 
@@ -285,24 +300,32 @@ class BatchIndex:
     def _insert(self, kind: str, rows: DataFrame) -> None:
         rows.repartition(self.buckets[kind], _TABLES[kind][1]).write.insertInto(self._table(kind))
 
-    def _count_runs(self, records: DataFrame, counters: int | None = None) -> Order:
-        """The order, with the counters of appended batches once they make up a share of the records."""
-        path = f"{self.folder}/counts"
-        records.filter("part is not null").select("at", "part", F.lit(counters).cast("int").alias("counters"), F.lit(0).cast("bigint").alias("records")).unionByName(
-            records.select(F.count("rec_id").alias("records")).select(F.lit(None).cast("int").alias("at"), F.lit(None).cast("binary").alias("part"), F.lit(counters).cast("int").alias("counters"), "records")
-        ).write.mode("append").parquet(path)
+    def _count_runs(self, records: DataFrame, own: int) -> Order:
+        """Keep a batch's counts of runs; the order, with all counts once a share of the records has been added since the last time."""
         if self._order is None:
-            parts = self.spark.read.parquet(path)
-            first = parts.filter("counters is not null and part is not null")
-            size = parts.agg(F.max("counters")).first()[0]
-            levels = merged_levels(first.select("at", "part"), size)
-            self._order, self._counted = Order(levels, levels), parts.filter("counters is not null").agg(F.sum("records")).first()[0]
-        seen = self.spark.read.parquet(path).agg(F.sum("records")).first()[0]
-        if seen > (1 + RECOUNT) * self._counted:
-            now = merged_levels(self.spark.read.parquet(path).filter("part is not null").select("at", "part"), len(self._order.first))
-            self._order, self._counted = Order(self._order.first, np.maximum(now, self._order.now)), seen
+            self._read_order()
+        parts = records.filter("part is not null").select("at", "part")
+        parts.write.parquet(f"{self.folder}/counts/batch={self._batches}/records={own}")
+        self._batches, self._records = self._batches + 1, self._records + own
+        if self._order is None:  # the first records
+            self._read_order()
+        elif self._records > (1 + RECOUNT) * self._counted:
+            every = self.spark.read.schema("at int, part binary").parquet(*folders(self.spark, f"{self.folder}/counts/*/*"))
+            now = merged_levels(every, len(self._order.first))
+            self._order, self._counted = Order(self._order.first, np.maximum(now, self._order.now)), self._records
         return self._order
 
+    def _read_order(self) -> None:
+        """The order and the number of batches and records so far, as this or another session left them."""
+        seen = dict(re.search(r"batch=(\d+)/records=(\d+)$", x).groups() for x in folders(self.spark, f"{self.folder}/counts/*/*"))
+        seen = {int(k): int(n) for k, n in seen.items()}
+        self._batches, self._records = len(seen), sum(seen.values())
+        if seen:
+            self._counted = seen[0]
+            first = self.spark.read.schema("at int, part binary").parquet(f"{self.folder}/counts/batch=0")
+            levels = merged_levels(first, self.buckets["counters"])
+            self._order = Order(levels, levels)
+
     def _rows(self, kind: str, keys: DataFrame, small: bool) -> DataFrame:
         """The rows of a table for ``keys`` (of one column, its bucketing one).
 
@@ -324,11 +347,11 @@ class BatchIndex:
         counters = 1 << (COUNTERS_EACH * accepted.count()).bit_length()
         counters = min(max(counters, LEAST_COUNTERS), MOST_COUNTERS)
         records = read_records(accepted, counters, self.min_chars)
-        runs_, records_ = records.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("rec_id")).first()
+        runs_, own = records.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("rec_id")).first()
         cores = self.spark.sparkContext.defaultParallelism
-        sizes = (max(cores, runs_ // 2 // BUCKET_POSTINGS), max(cores, records_ // BUCKET_RECORDS))
-        self.spark.createDataFrame([sizes], "postings int, records int").coalesce(1).write.mode("overwrite").json(f"{self.folder}/buckets")
-        shared = self.spark.sparkContext.broadcast(self._count_runs(records, counters))
+        sizes = (max(cores, runs_ // 2 // BUCKET_POSTINGS), max(cores, own // BUCKET_RECORDS), counters)
+        self.spark.createDataFrame([sizes], "postings int, records int, counters int").coalesce(1).write.mode("overwrite").json(f"{self.folder}/buckets")
+        shared = self.spark.sparkContext.broadcast(self._count_runs(records, own))
         texts = records.filter("words is not null")
         self._insert("postings", packed_prefixes(texts, shared, self.bucket_ids, False))
         self._insert("records", records.filter("rec_id is not null").select("text_key", "rec_id", "n", "sketch", "words"))
@@ -336,12 +359,11 @@ class BatchIndex:
 
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
         """Append a batch; ``links`` (key_a, key_b) of its texts with other texts, its members (rec_id, text_key), and whether it is small."""
-        if self._order is None:
-            self._read_order()
-        records = read_records(batch, len(self._order.first), self.min_chars)
-        shared = self.spark.sparkContext.broadcast(self._count_runs(records))
+        records = read_records(batch, self.buckets["counters"], self.min_chars)
         own = records.filter("rec_id is not null").select("rec_id", "text_key")
-        small = own.limit(SMALL + 1).count() <= SMALL
+        n = own.count()
+        small = n <= SMALL
+        shared = self.spark.sparkContext.broadcast(self._count_runs(records, n))
         once = records.filter("words is not null").select("text_key", "n", "sketch", "words").dropDuplicates(["text_key"])
         known = self._rows("records", once.select("text_key"), small).select("text_key").distinct().withColumn("known", F.lit(True))
         texts = materialize(once.join(known, "text_key", "left"), "p7-texts")
@@ -352,11 +374,6 @@ class BatchIndex:
             list(jobs.map(lambda kind: self._insert(kind, rows[kind]), rows))
         return self._links(texts, shared, small), own, small
 
-    def _read_order(self) -> None:
-        """The order as another session left it."""
-        empty = self.spark.createDataFrame([], _READ)
-        self._count_runs(empty)
-
     def _links(self, texts: DataFrame, order, small: bool) -> DataFrame:
         asked = packed_prefixes(texts, order, self.bucket_ids, True)
         stored = self.spark.table(self._table("postings"))
@@ -372,8 +389,8 @@ class BatchIndex:
                 for i in range(x.num_rows):  # one row at a time, as each is large
                     a, b = ([x.column(f"{k}{end}")[i].as_py() for k in names] for end in ("_a", ""))
                     if a != last:
-                        last, have = a, _unpack(*a)
-                    both = _meet(have, _unpack(*b))
+                        last, have = a, _Packed(*a)
+                    both = _meet(have, _Packed(*b))
                     yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["key_a", "key_b"])
 
         met = stored.join(asked.hint("shuffle_hash"), "bucket").drop("bucket").mapInArrow(run, "key_a bigint, key_b bigint")

@@ -285,6 +285,12 @@ def test_p7_against_brute_force_and_batch_by_batch(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(p7, "LONG", 0)  # every list of postings is split
     monkeypatch.setattr(p7, "LONG_LEAST", 0.5)
     assert {tuple(r) for r in p7.batch_duplicates(a, b).collect()} == expected
+    monkeypatch.setattr(p7, "RECOUNT", 0.01)  # and counted anew with every batch
+    split = p7.BatchIndex(spark, str(tmp_path / "split"))
+    split.start(a.filter("rec_id < 30"))
+    split.add(a.filter("rec_id >= 30"))
+    found = {tuple(r) for part in ("rec_id < 1012", "rec_id >= 1012") for r in p7.BatchIndex(spark, str(tmp_path / "split")).pairs(b.filter(part)).collect()}
+    assert found == expected
     monkeypatch.undo()
     monkeypatch.setattr(p7, "COPIES", 1)  # every text with copies is spread
     index = p7.BatchIndex(spark, str(tmp_path / "index"))
