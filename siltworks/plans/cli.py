@@ -31,7 +31,7 @@ def stages(argv: list[str]) -> list[list[str]]:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="siltworks")
-    p.add_argument("-f", "--file", nargs="+", help="inputs of the first stage")
+    p.add_argument("-f", "--file", action="append", help="an input of the first stage; may be given again")
     p.add_argument("-o", "--output", help="output folder of the last stage; rows are shown without it")
     sub = p.add_subparsers(dest="verb", required=True)
     s = sub.add_parser("select")
@@ -96,6 +96,18 @@ def run_job(spark, a: argparse.Namespace) -> None:
             print(json.dumps(jobs.mine(spark, config, docs, models)))
 
 
+def show_description(df) -> None:
+    """Statistics as text, with a bar for each label and bin; there are at most some hundred rows a field."""
+    rows = df.collect()
+    for field in dict.fromkeys(r["field"] for r in rows):
+        own = [r for r in rows if r["field"] == field]
+        print(field, *[f"{r['kind']} {r['n']:g}" for r in own if r["kind"] in ("present", "length") and r["n"] is not None])
+        barred = sorted((r for r in own if r["kind"] in ("label", "bin")), key=lambda r: (r["low"] or 0, -r["n"]))
+        bars = describe.bar_chart([r["n"] for r in barred], 60).split("\n")
+        for r, bar in zip(barred, bars, strict=False):
+            print(f"  {r['label'] if r['kind'] == 'label' else '%g to %g' % (r['low'], r['high'])}\t{r['n']:g}\t{bar}")
+
+
 def main(argv: list[str] | None = None) -> None:
     parts = [parser().parse_args(a) for a in stages(argv if argv is not None else sys.argv[1:])]
     spark = build_session()
@@ -123,6 +135,8 @@ def main(argv: list[str] | None = None) -> None:
             df = df.repartition(a.count)
     if last.output:
         df.write.text(last.output) if df.columns == ["line"] else sinks.write_jsonl(df, last.output, "none")
+    elif last.verb == "describe":
+        show_description(df)
     else:
         df.show(truncate=False)
 

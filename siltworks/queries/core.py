@@ -138,6 +138,14 @@ def packed_line_hashes(spark, d):
     return df.select(F.col("doc_id").alias("doc"), hashing.encode_hashes(hashes).alias("packed"))
 
 
+@query(f"WITH {LINES} SELECT doc, string_agg(substr(sha1(line), 1, 8), ',' ORDER BY pos) AS hashes FROM lines GROUP BY doc")
+def unpacked_line_hashes(spark, d):
+    """Packs the hashes of a document's lines and unpacks them again."""
+    df = documents(spark, d).filter(F.length("text") > 0)
+    packed = hashing.encode_hashes(F.transform(F.split("text", "\n"), hashing.text_hash_32))
+    return df.select(F.col("doc_id").alias("doc"), F.array_join(hashing.decode_hashes(packed), ",").alias("hashes"))
+
+
 _PACKED = "CASE WHEN line_ids IS NOT NULL THEN base64(unhex(coalesce(list_aggregate(list_transform(line_ids, lambda i: printf('%02x%02x', i % 256, i // 256)), 'string_agg', ''), ''))) END"
 
 
@@ -363,6 +371,20 @@ def histogram_cumulative(spark, d):
     return describe.cumulative(describe.histogram(documents(spark, d), "n_chars", 12))
 
 
+_DESCRIBE_SQL = """WITH v AS (SELECT n_chars::DOUBLE AS x FROM documents WHERE n_chars IS NOT NULL), e AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
+c AS (SELECT CASE WHEN x = hi THEN 7 ELSE least(floor((x - lo) / (hi - lo) * 8)::INT, 7) END AS bin, count(*) AS n FROM v, e GROUP BY ALL)
+SELECT 'lang' AS field, 'present' AS kind, NULL::VARCHAR AS label, NULL::DOUBLE AS low, NULL::DOUBLE AS high, count(lang)::DOUBLE AS n FROM documents
+UNION ALL SELECT 'lang', 'length', NULL, NULL, NULL, avg(length(lang)) FROM documents
+UNION ALL (SELECT 'lang', 'label', lang, NULL, NULL, count(*)::DOUBLE FROM documents WHERE length(lang) <= 100 GROUP BY lang HAVING count(*) >= 2 ORDER BY count(*) DESC, lang LIMIT 100)
+UNION ALL SELECT 'n_chars', 'present', NULL, NULL, NULL, count(n_chars)::DOUBLE FROM documents
+UNION ALL SELECT 'n_chars', 'bin', NULL, lo + (hi - lo) / 8 * b, lo + (hi - lo) / 8 * (b + 1), coalesce(c.n, 0)::DOUBLE FROM e, unnest(generate_series(0, 7)) AS t(b) LEFT JOIN c ON c.bin = b"""
+
+
+@query(_DESCRIBE_SQL)
+def describe_fields(spark, d):
+    return describe.describe(documents(spark, d), ["lang", "n_chars"], bins=8)
+
+
 # --- metadata ---------------------------------------------------------------------------------------------------
 
 
@@ -479,6 +501,24 @@ def lid_one_language(spark, d):
     return out.select("doc_id", "language", "language_score")
 
 
+@query(
+    rf"WITH {_GRAMS}, {LINES.strip()}, lclean AS (SELECT doc, pos, length(line) AS size, ' ' || trim(regexp_replace(lower(line), '[^\p{{L}}]+', ' ', 'g')) || ' ' AS c FROM lines), "
+    "lgrams AS (SELECT doc, pos, size, substr(c, i::INT, 3) AS gram FROM lclean, unnest(generate_series(1, length(c) - 2)) AS t(i)), "
+    "lsums AS (SELECT doc, pos, size, m.lang, sum(logp) AS s FROM lgrams JOIN model m USING (gram) GROUP BY ALL), "
+    "lbest AS (SELECT doc, size, lang, round(1 / sum(exp(s - mx)) OVER (PARTITION BY doc, pos), 2) AS score, row_number() OVER (PARTITION BY doc, pos ORDER BY s DESC, lang) AS rn "
+    "FROM (SELECT *, max(s) OVER (PARTITION BY doc, pos) AS mx FROM lsums)), "
+    "votes AS (SELECT doc, lang, sum(score * size) AS vote FROM lbest WHERE rn = 1 GROUP BY ALL) "
+    "SELECT doc, lang FROM votes QUALIFY row_number() OVER (PARTITION BY doc ORDER BY vote DESC, lang DESC) = 1"
+)
+def lid_line_vote(spark, d):
+    """Each line votes for its language with its score and length."""
+    df = documents(spark, d)
+    model = materialize(lid.train(df), "lid")
+    lines = df.filter(F.length("text") > 0).select(F.col("doc_id").alias("doc"), F.explode(F.split("text", "\n")).alias("line"))
+    best = lines.withColumn("x", F.get(lid.languages(model, F.col("line"), 1), F.lit(0))).filter("x is not null")
+    return lid.length_weighted(best.select("doc", "x.lang", "x.score", F.length("line").alias("length")))
+
+
 # --- language models --------------------------------------------------------------------------------------------
 
 

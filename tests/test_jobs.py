@@ -182,3 +182,10 @@ def test_settings():
     assert PRESETS["augment"].wants_model("fr") and not PRESETS["augment"].wants_model("en")
     assert PRESETS["test"].wants_model("de") and not PRESETS["test"].wants_model("en") and PRESETS["base"].wants_model("en")
     assert PRESETS["test_segment"].pipeline[-1] == "split_by_segment" and PRESETS["test_reproduce"].metadata
+
+
+def test_describe_on_the_command_line(spark, tmp_path, capsys):
+    (tmp_path / "x.json").write_text("\n".join(json.dumps({"lang": "en" if i % 3 else "de", "n": i}) for i in range(30)))
+    cli.main(["-f", str(tmp_path / "x.json"), "where", "{n} >= 3", "--", "describe", "lang", "n", "--bins", "3"])
+    out = capsys.readouterr().out
+    assert "lang present 27 length 2" in out and "en\t18\t" in out and out.count("█") > 60
