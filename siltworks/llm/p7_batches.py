@@ -226,9 +226,14 @@ def _meet(asked: _Packed, stored: _Packed) -> np.ndarray:
         short_a, short_b = pos_a < x - 2 * x // 3, pos_b < y - 2 * y // 3
         ok = ((x <= y) & short_a) | ((y <= x) & short_b)
         ok &= (2 * np.minimum(x, y) > np.maximum(x, y)) & (np.minimum(x - pos_a, y - pos_b) >= (x + y) // 3 + 1) & (key_a != key_b)
-        out.append(np.unique(np.column_stack([key_a[ok], key_b[ok]]), axis=0))
+        out.append(_distinct(np.column_stack([key_a[ok], key_b[ok]])))
         at = stop
-    return np.unique(np.concatenate(out), axis=0)
+    return _distinct(np.concatenate(out))
+
+
+def _distinct(pairs: np.ndarray) -> np.ndarray:
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])] if len(pairs) else pairs
 
 
 def _may_match(a: list[bytes], b: list[bytes]) -> list[bool]:
