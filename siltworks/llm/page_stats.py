@@ -61,6 +61,9 @@ NAMES = [
 def page_stats(text: str | None) -> tuple[str, list[float]] | None:
     """Language guess and the values of ``NAMES``; None for null or blank text.
 
+    A text that no list of function words reads as prose, but rules that know no language do, is ``und``: its share of function words is unknown and set
+    to that of prose, its words in sentences are those by these rules.
+
     words: count. function: share of function words of the likeliest language. sentences: share of words in well-formed
     sentences or long lines of prose. lines, line_words: non-blank lines and words per line. ended: share of lines that end a sentence. bullets: share of lines
     with a bullet or number. digits, symbols: shares of characters. links: share of characters in links. marks: separators per
