@@ -7,9 +7,10 @@ what Python strips, digits are the Unicode class.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,18 +173,39 @@ def unescape_newlines(col: Column, token: str = NEWLINE) -> Column:
     return F.replace(col, F.lit(token), F.lit("\n"))
 
 
+#: Languages whose words lose their accents (fixed values).
+PLAIN_LANGUAGES = ("en", "my")
 #: A word with inner apostrophes and hyphens, or one other mark.
 WORD_TOKEN = r"[\p{L}\p{M}\p{N}]+(?:['’-][\p{L}\p{M}\p{N}]+)*|[^\t\n\x0b\x0c\r \p{L}\p{M}\p{N}]"
 
 
-def word_tokens(col: Column, language: str = "en") -> Column:
-    """Words, numbers and single marks of a text, after normalization and spacing; languages without spaces pass as one token."""
+def word_tokens(col: Column, language: str = "en", accents: bool = True) -> Column:
+    """Words, numbers and single marks of a text, after normalization and spacing; languages without spaces pass as one token.
+
+    Languages that lose their accents do so here unless ``accents`` is false, as where that has been done before.
+    """
     if language in ("th", "zh", "ja"):
         return F.array(col)
-    clean = spacing_for_tokens(normalize(col, accent=language in ("en", "my"), case=False, numbers=False, punct=1), language)
+    clean = spacing_for_tokens(normalize(col, accent=accents and language in PLAIN_LANGUAGES, case=False, numbers=False, punct=1), language)
     return F.regexp_extract_all(clean, F.lit(f"({WORD_TOKEN})"), 1)
 
 
+def by_language(language: Column, languages: tuple[str, ...], of: Callable[[str], Column], other: str = "en") -> Column:
+    """``of`` each row's language, of ``other`` for null and unlisted ones."""
+    out = F.when(F.lit(False), None)
+    for lang in languages:
+        out = out.when(language == lang, of(lang))
+    return out.otherwise(of(other))
+
+
+def tokenize_documents(df: DataFrame, languages: tuple[str, ...], text: str = "raw_content", out: str = "tokenized", language: str = "language") -> DataFrame:
+    """``df`` with the word tokens of each line of ``text`` by the rules of the row's language, separated by spaces, lines as they were."""
+    # accents go for whole texts, as they are taken off in Python
+    plain = by_language(df[language], languages, lambda lang: strip_accents(df[text]) if lang in PLAIN_LANGUAGES else df[text])
+    found = F.transform(F.split(plain, "\n"), lambda x: by_language(df[language], languages, lambda lang: F.array_join(word_tokens(x, lang, False), " ")))
+    return df.withColumn(out, F.array_join(found, "\n"))
+
+
 # The same expressions for the SQL oracles; ``x`` is any SQL text expression.
 
 

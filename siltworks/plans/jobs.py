@@ -105,3 +105,21 @@ def paragraphs(spark: SparkSession, docs: DataFrame, meta: str, output: str, sna
 def opening(spark: SparkSession, articles: str, output: str, n_docs: int | None = None) -> None:
     """Opening texts of an encyclopedia dump as lines of text."""
     readers.opening_texts(spark.read.json(articles), n_docs).write.option("compression", "gzip").text(output)
+
+
+def classify_and_split(spark: SparkSession, docs: DataFrame, lid_model: DataFrame, output: str, pattern: str = "{language}", threshold: float = 0.0) -> None:
+    """Documents by the language found for them, in splits."""
+    sinks.write_split(lid.with_language(docs, lid_model, threshold=threshold), output, pattern)
+
+
+def expand_corpus(
+    seed: DataFrame, docs: DataFrame, threshold: float, text: str = "raw_content", language: str = "language", rounding: float = 100.0, cut: float = 1000.0, samples: int = 20
+) -> tuple[DataFrame, DataFrame]:
+    """Sentences of ``docs`` that are likely under a model of ``seed`` (perplexity under ``threshold``), and a sample of all over steps of perplexity.
+
+    Both have ``lang, sentence, perplexity``; sentences are distinct, of the languages of the seed.
+    """
+    model = lm.unigram_model(materialize(lm.vocabulary(seed, text, language), "vocab"))
+    scored = materialize(lm.sentence_perplexity(lm.sentences(docs, text, language), model), "scored")
+    likely = lm.mine_sentences(scored, threshold)
+    return likely, lm.sample_by_perplexity(scored.filter("perplexity > 0"), "sentence", rounding, cut, samples)

@@ -79,11 +79,7 @@ def strip_accents(spark, d):
 
 
 def _by_language(of) -> Column:
-    """``of(language)`` for the language of each row; English for null and unknown ones."""
-    out = F.when(F.lit(False), None)
-    for lang in LANGUAGES:
-        out = out.when(F.col("lang") == lang, of(lang))
-    return out.otherwise(of("en"))
+    return text.by_language(F.col("lang"), LANGUAGES, of)
 
 
 def _sql_by_language(of) -> str:

@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from siltworks.operators import dedup, describe, verbs
+from siltworks.functions.text import tokenize_documents
+from siltworks.operators import dedup, describe, lid, verbs
 from siltworks.plans import cli, jobs
 from siltworks.plans.config import PRESETS, Config
 from siltworks.sources import readers, sinks
@@ -189,3 +190,25 @@ def test_describe_on_the_command_line(spark, tmp_path, capsys):
     cli.main(["-f", str(tmp_path / "x.json"), "where", "{n} >= 3", "--", "describe", "lang", "n", "--bins", "3"])
     out = capsys.readouterr().out
     assert "lang present 27 length 2" in out and "en\t18\t" in out and out.count("█") > 60
+
+
+def test_classify_and_split(spark, tmp_path):
+    rows = [(i, lang, "\n".join(text(lang, i))) for i in range(6) for lang in WORDS]
+    df = spark.createDataFrame(rows, "doc_id bigint, stated string, raw_content string")
+    jobs.classify_and_split(spark, df, lid.train(df, "raw_content", "stated"), str(tmp_path / "split"), threshold=0.5)
+    found = spark.read.json(str(tmp_path / "split"))
+    assert found.count() == 12 and found.filter("stated <> split").count() == 0
+
+
+def test_expand_corpus(spark):
+    seed = spark.createDataFrame([("the old house. the old garden.", "en")] * 3, "raw_content string, language string")
+    docs = spark.createDataFrame([("The old house. Quarks confine! The old house.", "en"), ("Le chat.", "fr")], "raw_content string, language string")
+    likely, sample = jobs.expand_corpus(seed, docs, 5.0, rounding=10.0, cut=100.0)
+    assert [(r["lang"], r["sentence"]) for r in likely.collect()] == [("en", "The old house.")]
+    assert {r["sentence"] for r in sample.collect()} == {"The old house.", "Quarks confine!"}
+
+
+def test_tokenize_documents_by_language(spark):
+    df = spark.createDataFrame([("Hé, l'été (2 5)!\nok", "fr"), ("Zé", "en"), ("汉字 x", "zh"), (None, "en")], "raw_content string, language string")
+    got = [r["tokenized"] for r in tokenize_documents(df, ("en", "fr", "zh")).collect()]
+    assert got[0].split("\n") == ["Hé , l'été ( 2 , 5 ) !", "ok"] and got[1] == "Ze" and got[2] == "汉字 x" and got[3] is None
