@@ -1,6 +1,7 @@
 import glob
 import gzip
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -212,3 +213,21 @@ def test_tokenize_documents_by_language(spark):
     df = spark.createDataFrame([("Hé, l'été (2 5)!\nok", "fr"), ("Zé", "en"), ("汉字 x", "zh"), (None, "en")], "raw_content string, language string")
     got = [r["tokenized"] for r in tokenize_documents(df, ("en", "fr", "zh")).collect()]
     assert got[0].split("\n") == ["Hé , l'été ( 2 , 5 ) !", "ok"] and got[1] == "Ze" and got[2] == "汉字 x" and got[3] is None
+
+
+def test_runs_by_segment_and_experiments(spark, archive):
+    base = Config.from_json(archive / "settings.json")
+    docs = jobs.documents(spark, base, str(archive / "wet.paths"), str(archive))
+    models = jobs.train(spark, base, readers.read_jsonl(spark, str(archive / "train.json"), None))
+    config = replace(base, pipeline=PRESETS["mine_segment"].pipeline, mined_dir="by_segment")
+    jobs.mine(spark, config, docs, models)
+    moved = jobs.regroup(spark, config)
+    assert len(moved) == 4 and spark.read.json(config.folder()).count() == 24
+    assert set(spark.read.json(config.folder()).columns) == {"url", "digest", "cc_segment", "language", "language_score", "perplexity", "bucket", "line_ids"}
+    lid_exp = replace(base, pipeline=PRESETS["lid_exp"].pipeline, mined_dir="lid")
+    jobs.mine(spark, lid_exp, docs, {"lid_model": models["lid_model"]})
+    rows = spark.read.json(lid_exp.folder("parts"))
+    assert rows.count() == 24 and {"lid_before_dedup", "lid_after_dedup"} <= set(rows.columns)
+    again = replace(base, pipeline=PRESETS["test_reproduce"].pipeline, mined_dir="again", metadata=config.folder())
+    jobs.mine(spark, again, docs)
+    assert spark.read.json(again.folder("split")).count() == 24
