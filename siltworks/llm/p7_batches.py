@@ -283,9 +283,20 @@ class BatchIndex:
     def __init__(self, spark: SparkSession, folder: str, min_chars: int = MIN_CHARS):
         self.spark, self.folder, self.min_chars = spark, folder.rstrip("/"), min_chars
         self._order: Order | None = None
+        self._steps: list[DataFrame] = []
 
     # state
 
+    def _step(self, df: DataFrame, name: str) -> DataFrame:
+        """``materialize``, to be deleted by ``forget``."""
+        self._steps.append(materialize(df, name))
+        return self._steps[-1]
+
+    def forget(self) -> None:
+        """Delete the steps written for the batches so far; what ``add``, ``pairs`` and ``classes`` gave must have been written by then."""
+        while self._steps:
+            discard(self._steps.pop())
+
     @cached_property
     def buckets(self) -> dict[str, int]:
         return self.spark.read.json(f"{self.folder}/buckets").first().asDict()
@@ -365,13 +376,14 @@ class BatchIndex:
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
         """Append a batch; ``links`` (key_a, key_b) of its texts with other texts, its members (rec_id, text_key), and whether it is small."""
         records = read_records(batch, self.buckets["counters"], self.min_chars)
+        self._steps.append(records)
         own = records.filter("rec_id is not null").select("rec_id", "text_key")
         n = own.count()
         small = n <= SMALL
         shared = self.spark.sparkContext.broadcast(self._count_runs(records, n))
         once = records.filter("words is not null").select("text_key", "n", "sketch", "words").dropDuplicates(["text_key"])
         known = self._rows("records", once.select("text_key"), small).select("text_key").distinct().withColumn("known", F.lit(True))
-        texts = materialize(once.join(known, "text_key", "left"), "p7-texts")
+        texts = self._step(once.join(known, "text_key", "left"), "p7-texts")
         new = texts.filter("known is null").select("text_key", F.lit(None).cast("bigint").alias("rec_id"), "n", "sketch", "words")
         none = [F.lit(None).cast(k).alias(c) for c, k in (("n", "int"), ("sketch", "binary"), ("words", "binary"))]
         rows = {"postings": packed_prefixes(new, shared, self.bucket_ids, False), "records": own.select("text_key", "rec_id", *none).union(new)}
@@ -383,7 +395,7 @@ class BatchIndex:
         asked = packed_prefixes(texts, order, self.bucket_ids, True)
         stored = self.spark.table(self._table("postings"))
         if small:
-            asked = materialize(asked, "p7-asked")
+            asked = self._step(asked, "p7-asked")
             stored = self._rows("postings", asked.select("bucket"), True)
         names = [x.split(" ")[0] for x in _PACKED.split(", ")][1:]
         asked = asked.select("bucket", *[F.col(c).alias(f"{c}_a") for c in names])
@@ -400,8 +412,8 @@ class BatchIndex:
 
         met = stored.join(asked.hint("shuffle_hash"), "bucket").drop("bucket").mapInArrow(run, "key_a bigint, key_b bigint")
         with _small_batches(self.spark):
-            pairs = materialize(met.distinct(), "p7-pairs")
-        likely = materialize(self._both(pairs, texts, "sketch", _may_match, small), "p7-likely")
+            pairs = self._step(met.distinct(), "p7-pairs")
+        likely = self._step(self._both(pairs, texts, "sketch", _may_match, small), "p7-likely")
         return self._both(likely, texts, "words", _match, small).distinct()
 
     def _both(self, pairs: DataFrame, texts: DataFrame, column: str, keep, small: bool) -> DataFrame:
@@ -421,9 +433,9 @@ class BatchIndex:
         """``add``, and the records behind it: ``rec_id_a, rec_id_b`` (smaller first), one of them in the batch."""
         links, own, small = self.add(batch)
         same = own.select(F.col("text_key").alias("key_a"), F.col("text_key").alias("key_b")).distinct()
-        links = materialize(links.union(same), "p7-links")
+        links = self._step(links.union(same), "p7-links")
         members = self._rows("records", links.select("key_b"), small).filter("rec_id is not null").select("text_key", "rec_id")
-        members = materialize(members.distinct(), "p7-members")
+        members = self._step(members.distinct(), "p7-members")
         # the records of a text with very many copies are spread
         large = members.groupBy("text_key").agg(F.ceil(F.count("*") / COPIES).cast("int").alias("ways")).filter("ways > 1")
         large = large.withColumnRenamed("text_key", "key_b")
@@ -442,10 +454,10 @@ class BatchIndex:
         have another text that matches.
         """
         links, own, small = self.add(batch)
-        links = materialize(links, "p7-links")
+        links = self._step(links, "p7-links")
         keys = own.select("text_key").union(links.select("key_b")).distinct()
         sizes = self._rows("records", keys, small).filter("rec_id is not null").select("text_key", "rec_id").distinct().groupBy("text_key").agg(F.count("*").alias("records"))
-        sizes = materialize(sizes, "p7-sizes")
+        sizes = self._step(sizes, "p7-sizes")
         linked = links.join(sizes.withColumnRenamed("text_key", "key_b"), "key_b").groupBy("key_a").agg(F.sum("records").alias("links"))
         mine = own.distinct().join(sizes, "text_key").join(linked.withColumnRenamed("key_a", "text_key"), "text_key", "left")
         return mine.select("rec_id", F.col("text_key").alias("class_id"), (F.col("records") - 1).alias("copies"), F.coalesce("links", F.lit(0)).alias("links"))
@@ -473,6 +485,7 @@ def batch_duplicates(accepted: DataFrame, incoming: DataFrame, min_chars: int =
     found = None
     for batch in batches_of(incoming):
         rows = materialize(getattr(index, how)(batch), "p7-batch")
+        index.forget()
         found = rows if found is None else found.union(rows)
     if found is None:
         kinds = "rec_id_a bigint, rec_id_b bigint" if how == "pairs" else "rec_id bigint, class_id bigint, copies bigint, links bigint"
