@@ -95,7 +95,7 @@ def page_stats(text: str | None) -> tuple[str, list[float]] | None:
     top = heapq.nlargest(5, counts.items(), key=itemgetter(1))
     # -sum(c / m log(c / m)), over its most
     entropy = 1 - sum(map(_count_log, counts.values())) / m / math.log(m) if m > 1 else 0.0
-    heavy = {w for w, c in top if c >= 6 and c > HEAVY * m} if n >= 20 else set()
+    heavy = {w for w, c in top if c >= 6 and c > HEAVY * m}
     good = _prose_words(bare, find, lambda found, least, count: _reads(found, own, heavy, least, count))
     function = hits / max(1, n)
     links = 1 - len(bare.replace(" ", "")) / max(1, len(text.replace(" ", "")))

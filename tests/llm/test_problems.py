@@ -21,7 +21,7 @@ from siltworks.llm import p9_leaks as p9
 from siltworks.llm import p10_truncated as p10
 from siltworks.llm.archetypes import NOUNS, SYLLABLES, Maker, examples
 from siltworks.llm.common import level_counts, to_levels
-from siltworks.llm.page_stats import page_stats
+from siltworks.llm.page_stats import NAMES, page_stats
 from siltworks.llm.words import runs, word_codes
 
 from .prose import PROSE
@@ -164,6 +164,12 @@ def test_page_stats_of_odd_texts():
         assert all(np.isfinite(page_stats(t)[1]))
 
 
+def test_page_stats_of_stuffed_words_in_short_texts():
+    text = "We sell shoes, fine shoes, red shoes, wool shoes, kids shoes and cheap shoes in the town for it."
+    for t in [text, text.replace("the town", "the old town")]:  # 19 and 20 words
+        assert dict(zip(NAMES, page_stats(t)[1], strict=True))["sentences"] == 0
+
+
 # 4 and 6
 
 
