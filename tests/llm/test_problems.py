@@ -262,6 +262,22 @@ def test_p6_single_site(spark):
     assert p6.repeated_lines(spark.createDataFrame(rows, SITE)).count() == 9
 
 
+def test_p6_counts_without_the_test_and_reports_it(spark, tmp_path, monkeypatch):
+    # "spread" is on 8 of 200 pages of one host and on 3 pages each of 40 others; "five" on 5 of the 200
+    rows = [(k, "http://a.example/", None, None, f"own {chr(97 + k % 26)}{chr(97 + k // 26)}" + "\nspread" * (k < 8) + "\nfive" * (k < 5)) for k in range(200)]
+    rows += [(1000 + 3 * h + j, f"http://b{h}.example/", None, None, f"spread\nother {chr(97 + h % 26)}{chr(97 + h // 26)}{chr(97 + j)}") for h in range(40) for j in range(3)]
+    spark.createDataFrame(rows, SITE).write.parquet(str(tmp_path / "site_pages.parquet"))
+    report = {(r["host"], r["pages"]): (r["host_pages"], r["outside"], r["significant"], r["excess"]) for r in p6.p6_line_excess(spark, str(tmp_path)).collect()}
+    assert report["a.example", 8] == (200, 120, False, True) and report["a.example", 5] == (200, 0, True, False)
+    assert len(report) == 42
+
+    def fail(*args):
+        raise AssertionError("not needed for what is found")
+
+    monkeypatch.setattr(p6, "discovery_limit", fail)
+    assert {tuple(r) for r in p6.p6_found(spark, str(tmp_path)).collect()} == {(k, 1) for k in range(8)}
+
+
 # 7
 
 
