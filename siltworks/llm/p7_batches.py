@@ -20,7 +20,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.llm.common import bucketed_table, count_parts, level_counts, merged_levels
@@ -67,8 +67,15 @@ def _sketch(found: np.ndarray) -> bytes:
     return np.int64(len(found)).tobytes() + np.packbits(bits).tobytes()
 
 
-def read_records(df: DataFrame, counters: int, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The one pass over raw texts: rows of ``_READ``.
+def _counted(df: DataFrame, name: str, **of: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize``, and aggregates of its rows taken by the job that writes them; a query of its own costs the driver more."""
+    seen = Observation()
+    written = materialize(df.observe(seen, *[x.alias(k) for k, x in of.items()]), name)
+    return written, {k: n or 0 for k, n in seen.get.items()}
+
+
+def read_records(df: DataFrame, counters: int, min_chars: int = MIN_CHARS) -> tuple[DataFrame, dict[str, int]]:
+    """The one pass over raw texts: rows of ``_READ``, and how many ``records`` and ``runs`` they have.
 
     Records: ``rec_id, text_key``, and once a task for each text its number of runs, sketch and word codes. Besides, every
     task adds its counts of all runs as rows of ``at, part``.
@@ -101,7 +108,7 @@ def read_records(df: DataFrame, counters: int, min_chars: int = MIN_CHARS) -> Da
 
     slim = df.select(df["rec_id"].alias("rec_id"), df["raw_content"].alias("text"))
     slim = spread(slim.filter((F.length("text") >= min_chars) & F.col("rec_id").isNotNull()))
-    return materialize(slim.mapInArrow(run, _READ), "p7-records")
+    return _counted(slim.mapInArrow(run, _READ), "p7-records", records=F.count("rec_id"), runs=F.sum("n"))
 
 
 class Order:
@@ -283,6 +290,7 @@ class BatchIndex:
     def __init__(self, spark: SparkSession, folder: str, min_chars: int = MIN_CHARS):
         self.spark, self.folder, self.min_chars = spark, folder.rstrip("/"), min_chars
         self._order: Order | None = None
+        self._sent_order: tuple[Order | None, object] = (None, None)
         self._steps: list[DataFrame] = []
 
     # state
@@ -293,7 +301,7 @@ class BatchIndex:
         return self._steps[-1]
 
     def forget(self) -> None:
-        """Delete the steps written for the batches so far; what ``add``, ``pairs`` and ``classes`` gave must have been written by then."""
+        """Delete the steps written for the batches so far; what ``add`` gave must have been written by then, ``pairs`` and ``classes`` are."""
         while self._steps:
             discard(self._steps.pop())
 
@@ -306,15 +314,15 @@ class BatchIndex:
         """For every bucket of the postings the least number that Spark's hash sends there."""
         n = self.buckets["postings"]
         at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
-        least = self.spark.range(n * (20 + n.bit_length())).groupBy(at.alias("at")).agg(F.min("id").alias("id")).orderBy("at").collect()
+        least = self.spark.range(n * (20 + n.bit_length())).groupBy(at.alias("at")).agg(F.min("id").alias("id")).collect()
         assert len(least) == n
-        return np.array([r["id"] for r in least], np.int64)
+        return np.array([r["id"] for r in sorted(least)], np.int64)
 
     def _table(self, kind: str) -> str:
         return bucketed_table(self.spark, f"{self.folder}/{kind}", *_TABLES[kind], self.buckets[kind])
 
     def _insert(self, kind: str, rows: DataFrame) -> None:
-        rows.repartition(self.buckets[kind], _TABLES[kind][1]).write.insertInto(self._table(kind))
+        self._sent(kind, rows).write.insertInto(self._table(kind))
 
     def _count_runs(self, records: DataFrame, own: int) -> Order:
         """Keep a batch's counts of runs; the order, with all counts once a share of the records has been added since the last time."""
@@ -331,6 +339,12 @@ class BatchIndex:
             self._order, self._counted = Order(self._order.first, np.maximum(now, self._order.now)), self._records
         return self._order
 
+    def _broadcast(self, order: Order):
+        """The order as a broadcast, the same as long as the order is."""
+        if self._sent_order[0] is not order:
+            self._sent_order = order, self.spark.sparkContext.broadcast(order)
+        return self._sent_order[1]
+
     def _read_order(self) -> None:
         """The order and the number of batches and records so far, as this or another session left them."""
         seen = dict(re.search(r"batch=(\d+)/records=(\d+)$", x).groups() for x in folders(self.spark, f"{self.folder}/counts/*/*"))
@@ -354,7 +368,11 @@ class BatchIndex:
         if few is not None and len(few) <= FEW:
             return stored.filter(F.col(by).isin(few)) if few else stored.limit(0)
         # as many partitions as buckets, as Spark would else shuffle the table to the keys
-        return stored.join(keys.toDF(by).repartition(self.buckets[kind], by).distinct().hint("shuffle_hash"), by, "left_semi")
+        return stored.join(self._sent(kind, keys.toDF(by)).distinct().hint("shuffle_hash"), by, "left_semi")
+
+    def _sent(self, kind: str, rows: DataFrame, key: str | None = None) -> DataFrame:
+        """Rows sent to the buckets of a table: a join or grouping by ``key`` then needs no further exchange."""
+        return rows.repartition(self.buckets[kind], key or _TABLES[kind][1])
 
     # steps
 
@@ -362,12 +380,13 @@ class BatchIndex:
         """Index the records from which the order of runs is taken."""
         counters = 1 << (COUNTERS_EACH * accepted.count()).bit_length()
         counters = min(max(counters, LEAST_COUNTERS), MOST_COUNTERS)
-        records = read_records(accepted, counters, self.min_chars)
-        runs_, own = records.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("rec_id")).first()
+        records, seen = read_records(accepted, counters, self.min_chars)
+        own = seen["records"]
         cores = self.spark.sparkContext.defaultParallelism
-        sizes = (max(cores, runs_ // 2 // BUCKET_POSTINGS), max(cores, own // BUCKET_RECORDS), counters)
+        sizes = (max(cores, seen["runs"] // 2 // BUCKET_POSTINGS), max(cores, own // BUCKET_RECORDS), counters)
         self.spark.createDataFrame([sizes], "postings int, records int, counters int").coalesce(1).write.mode("overwrite").json(f"{self.folder}/buckets")
-        shared = self.spark.sparkContext.broadcast(self._count_runs(records, own))
+        self.buckets = dict(zip(("postings", "records", "counters"), sizes, strict=True))
+        shared = self._broadcast(self._count_runs(records, own))
         texts = records.filter("words is not null")
         self._insert("postings", packed_prefixes(texts, shared, self.bucket_ids, False))
         self._insert("records", records.filter("rec_id is not null").select("text_key", "rec_id", "n", "sketch", "words"))
@@ -375,15 +394,15 @@ class BatchIndex:
 
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
         """Append a batch; ``links`` (key_a, key_b) of its texts with other texts, its members (rec_id, text_key), and whether it is small."""
-        records = read_records(batch, self.buckets["counters"], self.min_chars)
+        records, seen = read_records(batch, self.buckets["counters"], self.min_chars)
         self._steps.append(records)
         own = records.filter("rec_id is not null").select("rec_id", "text_key")
-        n = own.count()
+        n = seen["records"]
         small = n <= SMALL
-        shared = self.spark.sparkContext.broadcast(self._count_runs(records, n))
-        once = records.filter("words is not null").select("text_key", "n", "sketch", "words").dropDuplicates(["text_key"])
+        shared = self._broadcast(self._count_runs(records, n))
+        once = self._sent("records", records.filter("words is not null").select("text_key", "n", "sketch", "words")).dropDuplicates(["text_key"])
         known = self._rows("records", once.select("text_key"), small).select("text_key").distinct().withColumn("known", F.lit(True))
-        texts = self._step(once.join(known, "text_key", "left"), "p7-texts")
+        texts = self._step(once.join(known.hint("shuffle_hash"), "text_key", "left"), "p7-texts")
         new = texts.filter("known is null").select("text_key", F.lit(None).cast("bigint").alias("rec_id"), "n", "sketch", "words")
         none = [F.lit(None).cast(k).alias(c) for c, k in (("n", "int"), ("sketch", "binary"), ("words", "binary"))]
         rows = {"postings": packed_prefixes(new, shared, self.bucket_ids, False), "records": own.select("text_key", "rec_id", *none).union(new)}
@@ -413,42 +432,58 @@ class BatchIndex:
         met = stored.join(asked.hint("shuffle_hash"), "bucket").drop("bucket").mapInArrow(run, "key_a bigint, key_b bigint")
         with _small_batches(self.spark):
             pairs = self._step(met.distinct(), "p7-pairs")
-        likely = self._step(self._both(pairs, texts, "sketch", _may_match, small), "p7-likely")
+        likely = self._both(pairs, texts, "sketch", _may_match, small)
+        if small:  # its keys are named, which reads it once more
+            likely = self._step(likely, "p7-likely")
         return self._both(likely, texts, "words", _match, small).distinct()
 
     def _both(self, pairs: DataFrame, texts: DataFrame, column: str, keep, small: bool) -> DataFrame:
         """The pairs for whose two values of ``column`` ``keep`` holds; the batch's come from ``texts``, the others from the index."""
         a = texts.select(F.col("text_key").alias("key_a"), F.col(column).alias("of_a"))
-        b = self._rows("records", pairs.select("key_b"), small).filter(F.col(column).isNotNull()).select(F.col("text_key").alias("key_b"), F.col(column).alias("of_b"))
+        stored = self._rows("records", pairs.select("key_b"), True) if small else self.spark.table(self._table("records"))
+        b = stored.filter(F.col(column).isNotNull()).select(F.col("text_key").alias("key_b"), F.col(column).alias("of_b"))
 
         def check(batches):
             for x in batches:
                 mask = pa.array(keep(x.column("of_a").to_pylist(), x.column("of_b").to_pylist()), pa.bool_())
                 yield pa.RecordBatch.from_arrays([x.column(c).filter(mask) for c in ("key_a", "key_b")], ["key_a", "key_b"])
 
-        joined = b.join(pairs.join(a, "key_a").repartition(self.buckets["records"], "key_b").hint("shuffle_hash"), "key_b").select("key_a", "key_b", "of_a", "of_b")
+        joined = b.join(self._sent("records", pairs.join(a, "key_a"), "key_b").hint("shuffle_hash"), "key_b").select("key_a", "key_b", "of_a", "of_b")
         return joined.mapInArrow(check, "key_a bigint, key_b bigint")
 
     def pairs(self, batch: DataFrame) -> DataFrame:
-        """``add``, and the records behind it: ``rec_id_a, rec_id_b`` (smaller first), one of them in the batch."""
+        """``add``, and the records behind it, written: ``rec_id_a, rec_id_b`` (smaller first), one of them in the batch."""
         links, own, small = self.add(batch)
         same = own.select(F.col("text_key").alias("key_a"), F.col("text_key").alias("key_b")).distinct()
         links = self._step(links.union(same), "p7-links")
-        members = self._rows("records", links.select("key_b"), small).filter("rec_id is not null").select("text_key", "rec_id")
-        members = self._step(members.distinct(), "p7-members")
-        # the records of a text with very many copies are spread
-        large = members.groupBy("text_key").agg(F.ceil(F.count("*") / COPIES).cast("int").alias("ways")).filter("ways > 1")
-        large = large.withColumnRenamed("text_key", "key_b")
+        asked = own.select(F.col("text_key").alias("key_a"), F.col("rec_id").alias("x")).join(links, "key_a").select("key_b", "x")
+        if self._records <= COPIES:  # no text has more copies than there are records
+            stored = self._rows("records", links.select("key_b"), True) if small else self.spark.table(self._table("records"))
+            members = stored.filter("rec_id is not null").select(F.col("text_key").alias("key_b"), F.col("rec_id").alias("y"))
+            both = members.join(self._sent("records", asked, "key_b").hint("shuffle_hash"), "key_b")
+        else:
+            members = self._rows("records", links.select("key_b"), small).filter("rec_id is not null").select("text_key", "rec_id")
+            members, seen = _counted(members.distinct(), "p7-members", records=F.count("rec_id"))
+            self._steps.append(members)
+            members = members.select(F.col("text_key").alias("key_b"), F.col("rec_id").alias("y"))
+            by = ["key_b"]
+            if seen["records"] > COPIES:
+                asked, members, by = *self._spread_copies(asked, members), ["key_b", "way"]
+            both = asked.join(members, by)
+        both = both.filter("x <> y").select(F.least("x", "y").alias("rec_id_a"), F.greatest("x", "y").alias("rec_id_b"))
+        return materialize(both.distinct(), "p7-batch")
+
+    @staticmethod
+    def _spread_copies(asked: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Both with a column ``way``, by which the records of a text with very many copies are spread."""
+        large = members.groupBy("key_b").agg(F.ceil(F.count("*") / COPIES).cast("int").alias("ways")).filter("ways > 1")
         ways = F.coalesce("ways", F.lit(1))
-        members = members.withColumnRenamed("text_key", "key_b").join(large, "key_b", "left")
-        members = members.select("key_b", F.col("rec_id").alias("y"), F.pmod(F.xxhash64("rec_id"), ways).cast("int").alias("way"))
-        asked = own.select(F.col("text_key").alias("key_a"), F.col("rec_id").alias("x")).join(links, "key_a").join(large, "key_b", "left")
-        asked = asked.select("key_b", "x", F.explode(F.sequence(F.lit(0), ways - 1)).alias("way"))
-        both = asked.join(members, ["key_b", "way"]).filter("x <> y")
-        return both.select(F.least("x", "y").alias("rec_id_a"), F.greatest("x", "y").alias("rec_id_b")).distinct()
+        members = members.join(large, "key_b", "left").select("key_b", "y", F.pmod(F.xxhash64("y"), ways).cast("int").alias("way"))
+        asked = asked.join(large, "key_b", "left").select("key_b", "x", F.explode(F.sequence(F.lit(0), ways - 1)).alias("way"))
+        return asked, members
 
     def classes(self, batch: DataFrame) -> DataFrame:
-        """``add``, one row per record of the batch that counts: ``rec_id, class_id, copies, links``.
+        """``add``, one row per record of the batch that counts, written: ``rec_id, class_id, copies, links``.
 
         ``class_id`` is the same for records of one text, ``copies`` how many other records have that text, ``links`` how many records
         have another text that matches.
@@ -460,7 +495,8 @@ class BatchIndex:
         sizes = self._step(sizes, "p7-sizes")
         linked = links.join(sizes.withColumnRenamed("text_key", "key_b"), "key_b").groupBy("key_a").agg(F.sum("records").alias("links"))
         mine = own.distinct().join(sizes, "text_key").join(linked.withColumnRenamed("key_a", "text_key"), "text_key", "left")
-        return mine.select("rec_id", F.col("text_key").alias("class_id"), (F.col("records") - 1).alias("copies"), F.coalesce("links", F.lit(0)).alias("links"))
+        mine = mine.select("rec_id", F.col("text_key").alias("class_id"), (F.col("records") - 1).alias("copies"), F.coalesce("links", F.lit(0)).alias("links"))
+        return materialize(mine, "p7-batch")
 
 
 def batches_of(incoming: DataFrame) -> list[DataFrame]:
@@ -484,7 +520,7 @@ def batch_duplicates(accepted: DataFrame, incoming: DataFrame, min_chars: int =
     index.start(accepted)
     found = None
     for batch in batches_of(incoming):
-        rows = materialize(getattr(index, how)(batch), "p7-batch")
+        rows = getattr(index, how)(batch)
         index.forget()
         found = rows if found is None else found.union(rows)
     if found is None:

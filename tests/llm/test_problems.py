@@ -349,6 +349,25 @@ def test_p7_against_brute_force_and_batch_by_batch(spark, tmp_path, monkeypatch)
     assert p7.batch_duplicates(a.limit(0), b.limit(0)).count() == 0 and p7.batch_duplicates(a, b.limit(0)).count() == 0
 
 
+def test_p7_few_jobs_a_batch(spark, tmp_path, monkeypatch):
+    rows = records(random.Random(8), 60, 0) + records(random.Random(8), 25, 1000)
+    df = spark.createDataFrame(rows, REC).coalesce(1)
+    expected = brute_pairs(rows, 1000)
+    monkeypatch.setattr(p7, "SMALL", 0)
+    scheduler = spark.sparkContext._jsc.sc().dagScheduler()
+    for copies in (20_000, 83):  # the bound above all records, and between them and those that are asked for
+        monkeypatch.setattr(p7, "COPIES", copies)
+        index = p7.BatchIndex(spark, str(tmp_path / f"index{copies}"))
+        index.start(df.filter("rec_id < 1000"))
+        found, jobs = set(), []
+        for part in ("rec_id between 1000 and 1011", "rec_id >= 1012"):
+            before = scheduler.numTotalJobs()
+            found |= {tuple(r) for r in index.pairs(df.filter(part)).collect()}
+            jobs.append(scheduler.numTotalJobs() - before)
+        assert found == expected and expected
+        assert max(jobs) <= 30, jobs  # each job costs the driver memory, however small it is
+
+
 def test_p7_levels_never_undercount():
     counts = np.array([0, 1, 2, 3, 5, 100, 65_536, 10**12, 2**62])
     levels = to_levels(counts)
